@@ -1,3 +1,3 @@
 """The registered queries, by module."""
 
-from ledgerline.plans import joining, metrics, partitions, preparation  # noqa: F401
+from ledgerline.plans import joining, metrics, partitions, preparation, sources, streams, validation  # noqa: F401

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.operators import metrics as m
@@ -82,7 +83,7 @@ def k3_nulls(spark, root):
   AS place, column_name, viable, skew_ratio FROM ({CANDIDATES_SQL})""")
 def k4(spark, root):
     # The candidates are as many as there are columns; one ordering window holds them.
-    place = F.row_number().over(p.W.orderBy(F.desc("viable"), F.desc("skew_ratio"), "column_name"))
+    place = F.row_number().over(W.orderBy(F.desc("viable"), F.desc("skew_ratio"), "column_name"))
     return p.ranked(candidates(spark, root)).select(
         place.cast("bigint").alias("place"), "column_name", "viable", "skew_ratio")
 
