@@ -72,11 +72,9 @@ def lookup_or(rows: DataFrame, hop: Hop, found: str, fallbacks: list[Column], al
 
 def within_broadcast(frame: DataFrame) -> bool:
     """Whether the planner itself would broadcast a frame of this size."""
-    spark = frame.sparkSession
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
+    limit = frame.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return limit > 0 and int(str(size)) <= limit
+    return int(str(size)) <= limit
 
 
 def walk(events: DataFrame, hops: list[Hop], sums: dict[str, Column],
