@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.scalars import json_row
+from ledgerline.functions.scalars import json_row_size
 
 # The messages. Fields are numbered from 1 in the order written here.
 MESSAGES = {
@@ -137,7 +137,7 @@ def protobuf_size(message: str) -> Column:
 
 def json_size(message: str) -> Column:
     """Bytes of the compact JSON text of a message whose fields are columns."""
-    return F.octet_length(json_row([(f.name, f.spark_type) for f in fields_of(message)])).cast("bigint")
+    return json_row_size([(f.name, f.spark_type) for f in fields_of(message)]).cast("bigint")
 
 
 def payload_sizes(rows: DataFrame, message: str) -> DataFrame:
@@ -159,5 +159,4 @@ def round_trip(rows: DataFrame) -> DataFrame:
     """One row: rows, and how many differ after encoding to JSON and decoding with the same schema."""
     row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
     decoded = F.from_json(F.to_json(row), rows.schema)
-    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(decoded.getField(c)) for c in rows.columns])
-    return rows.agg(F.count(F.lit(1)).alias("row_count"), F.count_if(~same).alias("mismatches"))
+    return rows.agg(F.count(F.lit(1)).alias("row_count"), F.count_if(~row.eqNullSafe(decoded)).alias("mismatches"))

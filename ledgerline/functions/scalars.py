@@ -33,11 +33,12 @@ def mechanism(score: Column, submitted: Column, ended: Column,
 
 
 def clean_identifier(text: Column) -> Column:
-    """A lower-case identifier of letters, digits and single underscores."""
-    name = F.regexp_replace(F.lower(text), "[^a-z0-9_]+", "_")
-    name = F.regexp_replace(F.regexp_replace(name, "_+", "_"), "^_|_$", "")
-    name = F.when(name == "", "column").otherwise(name)
-    return F.when(name.rlike("^[0-9]"), F.concat(F.lit("_"), name)).otherwise(name)
+    """A lower-case identifier of letters, digits and single underscores.
+
+    One chain of calls, so that the long text is searched only once.
+    """
+    name = F.btrim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "_"), F.lit("_"))
+    return F.regexp_replace(F.regexp_replace(name, "^$", "column"), "^(?=[0-9])", "_")
 
 
 def clean_names(names: list[str]) -> list[str]:
@@ -98,51 +99,45 @@ def percentage(part: Column, whole: Column) -> Column:
 
 def float_text(value: Column) -> Column:
     """A double as JSON text with plain decimals from 1e-4 up to below 1e16, else with an exponent (1e+16, 1.5e-07)."""
-    plain = value.cast("string")
+    plain = value.cast("string")  # has an exponent below 1e-3 and from 1e7 on
     magnitude = F.abs(value)
-    sign = F.when(plain.startswith("-"), "-").otherwise("")
-    # Outside of 1e-3 .. 1e7 the cast gives d.dddEx.
-    digits = F.regexp_replace(F.regexp_replace(plain, "E.*|[-.]", ""), "(?<=.)0+$", "")
-    exponent = F.regexp_extract(plain, "E(-?[0-9]+)$", 1).try_cast("int")
-    whole = exponent + 1
-    large = F.when(F.length(digits) <= whole, F.concat(F.rpad(digits, whole, "0"), F.lit(".0"))).otherwise(
-        F.concat(F.substring(digits, F.lit(1), whole), F.lit("."), F.substring(digits, whole + 1, F.length(digits)))
-    )
-    small = F.concat(F.lit("0.000"), digits)
-    mantissa = F.when(F.length(digits) == 1, digits).otherwise(
-        F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, F.lit(2), F.length(digits)))
-    )
-    power = F.concat(
-        mantissa, F.lit("e"), F.when(exponent < 0, "-").otherwise("+"), F.lpad(F.abs(exponent).cast("string"), 2, "0")
-    )
-    # Two digits is the least width of an exponent, not the most.
-    power = F.when(F.abs(exponent) > 99, F.concat(
-        mantissa, F.lit("e"), F.when(exponent < 0, "-").otherwise("+"), F.abs(exponent).cast("string")
-    )).otherwise(power)
+    decimal = F.regexp_replace(value.try_cast("decimal(38, 22)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
+    power = F.regexp_replace(F.regexp_replace(plain, r"(\.0)?E([0-9])", "e+$2"), r"(\.0)?E-", "e-")
+    power = F.regexp_replace(power, "e-([0-9])$", "e-0$1")
     return (
-        F.when(exponent.isNull(), plain)
-        .when((magnitude >= 1e7) & (magnitude < 1e16), F.concat(sign, large))
-        .when((magnitude >= 1e-4) & (magnitude < 1e-3), F.concat(sign, small))
-        .otherwise(F.concat(sign, power))
+        F.when((magnitude == 0) | ((magnitude >= 1e-3) & (magnitude < 1e7)), plain)
+        .when((magnitude >= 1e-4) & (magnitude < 1e16), decimal)
+        .otherwise(power)
     )
 
 
-def json_value(value: Column, data_type: str) -> Column:
-    """The compact JSON text of one value; `data_type` is the simple type name."""
-    if data_type in ("double", "float"):
-        text = float_text(value.cast("double"))
-    elif data_type in ("tinyint", "smallint", "int", "bigint", "boolean"):
-        text = value.cast("string")
-    else:
-        # A one-element array lets to_json do the quoting.
-        listed = F.to_json(F.array(value))
-        text = F.substring(listed, F.lit(2), F.length(listed) - 2)
-    return F.when(value.isNull(), "null").otherwise(text)
+def _json_text(fields: list[tuple[str, str]]) -> tuple[Column, list[str]]:
+    """A row as JSON in which doubles are still quoted, and the names of the doubles."""
+    reals = [name for name, kind in fields if kind in ("double", "float")]
+    values = [
+        (float_text(F.col(f"`{name}`").cast("double")) if name in reals else F.col(f"`{name}`")).alias(name)
+        for name, _ in fields
+    ]
+    return F.to_json(F.struct(*values), {"ignoreNullFields": "false"}), reals
 
 
 def json_row(fields: list[tuple[str, str]]) -> Column:
     """A row as one compact JSON object, with nulls kept. `fields` lists (column, simple type name)."""
-    parts = [F.concat(F.lit(f'"{name}":'), json_value(F.col(f"`{name}`"), kind)) for name, kind in fields]
-    if not parts:
+    if not fields:
         return F.lit("{}")
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    text, reals = _json_text(fields)
+    for name in reals:
+        # Quotes inside of values are escaped, so this matches the field only.
+        text = F.regexp_replace(text, f'"{re.escape(name)}":"([^"]*)"', f'"{name}":$1')
+    return text
+
+
+def json_row_size(fields: list[tuple[str, str]]) -> Column:
+    """The bytes of `json_row`, without building its text a second time."""
+    if not fields:
+        return F.lit(2)
+    text, reals = _json_text(fields)
+    size = F.octet_length(text)
+    for name in reals:
+        size = size - F.when(F.col(f"`{name}`").isNull(), 0).otherwise(2)
+    return size

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -37,47 +38,68 @@ def _comparable(name: str, data_type: T.DataType) -> Column:
     if _family(data_type) == "whole":
         return value.cast("bigint")
     if _family(data_type) == "real":
-        return value.cast("double") + 0.0
+        return value.cast("double")
     text = value if isinstance(data_type, T.StringType) else (
         F.to_json(value) if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)) else value.cast("string"))
     # Long texts are shuffled as their SHA-256 digest.
     return F.when(F.length(text) <= _LONG_TEXT, text).otherwise(F.sha2(text, 256))
 
 
-def value_counts(rows: DataFrame, columns: list[str] | None = None, weight: str | None = None) -> list[DataFrame]:
-    """(column_name, value, n): how often each value of each column occurs, one frame per family of types.
+@dataclass(frozen=True)
+class Counts:
+    """(column_id, value, n): how often each value of some columns occurs. `labels` describe the columns by their id."""
+
+    frame: DataFrame
+    labels: list[dict[str, str]]
+
+
+def value_counts(rows: DataFrame, columns: list[str] | None = None, weight: str | None = None,
+                 labels: dict[str, str] | None = None) -> list[Counts]:
+    """How often each value of each column occurs, one set of counts per family of types.
 
     Columns are turned into rows and counted before the shuffle, so columns of few values cost next to nothing and each
     scan reads only the columns of its family. With `weight`, a row counts that many times.
     """
     columns = [c for c in (columns or rows.columns) if c != weight]
-    frames = []
+    found = []
     for family in ("whole", "real", "text"):
         members = [c for c in columns if _family(rows.schema[c].dataType) == family]
         if not members:
             continue
-        ids = [] if weight is None else [F.col(weight)]
-        narrow = rows.select(*ids, *[_comparable(c, rows.schema[c].dataType).alias(c) for c in members])
-        long = narrow.unpivot(ids, [F.col(f"`{c}`") for c in members], "column_name", "value")
-        n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-        frames.append(long.groupBy("column_name", "value").agg(n.alias("n")))
-    return frames
+        values = F.posexplode(F.array(*[_comparable(c, rows.schema[c].dataType) for c in members]))
+        long = rows.select(*([weight] if weight else []), values.alias("column_id", "value"))
+        n = F.sum(weight) if weight else F.count(F.lit(1))
+        found.append(Counts(long.groupBy("column_id", "value").agg(n.alias("n")),
+                            [{**(labels or {}), "column_name": c} for c in members]))
+    return found
 
 
-def frequency_summary(frames: list[DataFrame], by: list[str]) -> DataFrame:
-    """Per `by`: rows, nulls, distinct values, and the least, middle and largest count of a value.
+def key_value_counts(rows: DataFrame, column: str, **labels: str) -> Counts:
+    """The same for one column as it is."""
+    counted = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return Counts(counted.withColumn("column_id", F.lit(0)), [labels or {"column_name": column}])
+
+
+def frequency_summary(counts: list[Counts]) -> DataFrame:
+    """Per column: rows, nulls, distinct values, and the least, middle and largest count of a value.
 
     Counts are first tallied (how many values occur n times). That tally is short however many values there are, and the
     exact median comes from it.
     """
-    tallies = [
-        frame.groupBy(*by, F.col("value").isNull().alias("missing"), "n").agg(F.count(F.lit(1)).alias("frequency"))
-        for frame in frames
-    ]
+    names = list(counts[0].labels[0])
+    tallies = []
+    for part in counts:
+        tally = part.frame.groupBy("column_id", F.col("value").isNull().alias("missing"), "n").agg(
+            F.count(F.lit(1)).alias("frequency"))
+        described = [
+            F.element_at(F.array(*[F.lit(label[name]) for label in part.labels]), F.col("column_id") + 1).alias(name)
+            for name in names
+        ]
+        tallies.append(tally.select(*described, "missing", "n", "frequency"))
     n = F.when(~F.col("missing"), F.col("n"))
     frequency = F.when(~F.col("missing"), F.col("frequency"))
     zero = F.lit(0).cast("bigint")
-    return union(tallies).groupBy(*by).agg(
+    return union(tallies).groupBy(*names).agg(
         F.sum(F.col("n") * F.col("frequency")).alias("row_count"),
         F.coalesce(F.sum(F.when(F.col("missing"), F.col("n"))), zero).alias("null_count"),
         F.coalesce(F.sum(frequency), zero).alias("distinct_count"),
@@ -89,10 +111,9 @@ def frequency_summary(frames: list[DataFrame], by: list[str]) -> DataFrame:
 
 def column_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per column of every table: nulls, distinct values, whether it is a candidate key or constant."""
-    tagged = [
-        frame.withColumn("table_name", F.lit(name)) for name, rows in tables.items() for frame in value_counts(rows)
-    ]
-    summary = frequency_summary(tagged, ["table_name", "column_name"])
+    summary = frequency_summary([
+        counts for name, rows in tables.items() for counts in value_counts(rows, labels={"table_name": name})
+    ])
     return summary.select(
         "table_name", "column_name", "row_count", "null_count", "distinct_count",
         ((F.col("null_count") == 0) & (F.col("distinct_count") == F.col("row_count"))).alias("is_candidate_key"),
@@ -141,8 +162,7 @@ def integrity(relations: dict[str, tuple[DataFrame, Hop]]) -> DataFrame:
 
 def children_per_parent(children: DataFrame, key: str) -> DataFrame:
     """One row: least, middle and largest number of children over the parents that have any; one-to-many or not."""
-    counts = children.groupBy(F.col(key).alias("value")).agg(F.count(F.lit(1)).alias("n")).withColumn("key", F.lit(key))
-    return frequency_summary([counts], ["key"]).select(
+    return frequency_summary([key_value_counts(children, key, key=key)]).select(
         "key",
         F.col("distinct_count").alias("parents"),
         F.col("min_count").alias("children_min"),
@@ -202,14 +222,14 @@ def verdict(checked: DataFrame) -> DataFrame:
     )
 
 
-def joined_value_counts(events: DataFrame, hops: list[Hop]) -> dict[str, list[DataFrame]]:
+def joined_value_counts(events: DataFrame, hops: list[Hop]) -> list[Counts]:
     """Value counts of every column of the joined rows, without joining the rows.
 
     A parent column has the value counts of its own table, each row weighted with its number of events, and the weights
     of a parent sum up from those of its children. So every table is unpivoted at its own size. Holds for joins that lose
     no event, which the join report tells.
     """
-    frames = {"events": value_counts(events)}
+    counts = value_counts(events)
     weighted: dict[str, DataFrame] = {}
     for hop in hops:
         child = next((weighted[h.name] for h in hops if h.name in weighted and hop.child_key in h.parent.columns), None)
@@ -218,5 +238,5 @@ def joined_value_counts(events: DataFrame, hops: list[Hop]) -> dict[str, list[Da
                    child.groupBy(F.col(hop.child_key).alias("_child")).agg(F.sum("_weight").alias("_weight")))
         weighted[hop.name] = hop.parent.join(per_key, hop.parent[hop.parent_key] == per_key["_child"]).drop("_child")
         attributes = [c for c in hop.parent.columns if c != hop.parent_key]
-        frames[hop.name] = value_counts(weighted[hop.name], attributes, "_weight")
-    return frames
+        counts += value_counts(weighted[hop.name], attributes, "_weight")
+    return counts

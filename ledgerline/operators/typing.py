@@ -17,30 +17,37 @@ def _number(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
+def _kinds_seen(text: Column) -> Column:
+    """A bit set of what the values of a text column are: 1 true or false, 2 whole, 4 fractional, 8 other text."""
+    kind = (
+        F.when(text.isNull(), 0)
+        .when(text.rlike(_WHOLE), 2)
+        .when(text.rlike(_NUMBER), F.when(text.try_cast("double") % 1 == 0, 2).otherwise(4))
+        .when(F.lower(text).isin("true", "false"), 1)
+        .otherwise(8)
+    )
+    return F.bit_or(kind)
+
+
 def infer_types(rows: DataFrame) -> DataFrame:
     """(column_name, inferred_type): one aggregate over all rows, however many columns there are.
 
     Typed columns keep their kind. Text is numeric only if every value is, and whole only if every value is.
     """
-    known, tests = {}, []
+    tests = []
     for field in rows.schema.fields:
-        value = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.BooleanType):
-            known[field.name] = F.lit(BOOLEAN)
+            found = F.lit(1)
         elif isinstance(field.dataType, T.IntegralType):
-            known[field.name] = F.lit(BIGINT)
+            found = F.lit(2)
         elif isinstance(field.dataType, T.FractionalType):
-            known[field.name] = F.lit(DOUBLE)
-        elif isinstance(field.dataType, T.StringType):
-            number = _number(value)
-            numeric = F.bool_and(F.when(value.isNotNull(), number.isNotNull()))
-            logical = F.bool_and(F.when(value.isNotNull(), F.lower(value).isin("true", "false")))
-            whole = F.bool_and(F.when(value.isNotNull(), F.coalesce(number % 1 == 0, F.lit(False))))
-            known[field.name] = F.when(logical, BOOLEAN).when(numeric & whole, BIGINT).when(numeric, DOUBLE).otherwise(TEXT)
+            found = F.lit(4)
         else:
-            known[field.name] = F.lit(TEXT)
-        tests.append(known[field.name].alias(field.name))
-    return rows.agg(*tests).unpivot([], rows.columns, "column_name", "inferred_type")
+            found = _kinds_seen(F.col(f"`{field.name}`")) if isinstance(field.dataType, T.StringType) else F.lit(8)
+        tests.append(found.alias(field.name))
+    seen = rows.agg(*tests).unpivot([], [F.col(f"`{c}`") for c in rows.columns], "column_name", "seen")
+    kind = F.when(F.col("seen") == 1, BOOLEAN).when(F.col("seen") == 2, BIGINT)
+    return seen.select("column_name", kind.when(F.col("seen").isin(4, 6), DOUBLE).otherwise(TEXT).alias("inferred_type"))
 
 
 def conformed(text: Column, kind: str) -> Column:
@@ -62,9 +69,12 @@ def changed_values(rows: DataFrame, types: dict[str, str]) -> DataFrame:
     """(column_name, rounded_values, lost_values): what conforming changes silently, counted in one pass."""
     counts = []
     for name in rows.columns:
-        text, value = F.col(f"`{name}`"), conformed(F.col(f"`{name}`"), types[name])
-        altered = (_number(text) % 1 != 0) if types[name] == BIGINT else F.lit(False)
-        counts += [F.count_if(altered).alias(f"rounded_{name}"), F.count_if(text.isNotNull() & value.isNull()).alias(f"lost_{name}")]
+        text, kind = F.col(f"`{name}`"), types[name]
+        fate = F.when(text.isNull(), 0).when(conformed(text, kind).isNull(), 2)
+        if kind == BIGINT:
+            fate = fate.when(~text.rlike(_WHOLE) & (_number(text) % 1 != 0), 1)
+        fate = fate.otherwise(0)
+        counts += [F.count_if(fate == 1).alias(f"rounded_{name}"), F.count_if(fate == 2).alias(f"lost_{name}")]
     entries = F.explode(F.array(*[
         F.struct(F.lit(n).alias("column_name"), F.col(f"`rounded_{n}`").alias("rounded_values"),
                  F.col(f"`lost_{n}`").alias("lost_values")) for n in rows.columns
