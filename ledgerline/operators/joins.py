@@ -73,8 +73,9 @@ def lookup_or(rows: DataFrame, hop: Hop, found: str, fallbacks: list[Column], al
 def within_broadcast(frame: DataFrame) -> bool:
     """Whether the planner itself would broadcast a frame of this size."""
     limit = frame.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    plans = frame._jdf.queryExecution()
+    # The size of the tables as they are often settles it without an optimizer run.
+    return any(int(str(plan().stats().sizeInBytes())) <= limit for plan in (plans.analyzed, plans.optimizedPlan))
 
 
 def walk(events: DataFrame, hops: list[Hop], sums: dict[str, Column],
@@ -82,9 +83,12 @@ def walk(events: DataFrame, hops: list[Hop], sums: dict[str, Column],
     """Follow many-to-one joins with additive measures, keeping the columns `carry` of events and parents.
 
     A parent of broadcast size is joined row by row, without any shuffle. Before any larger parent the measures are
-    summed per foreign key and carried columns, so that even a key with a third of all events reaches the join as few
-    rows. Returns the rows and the aggregates that finish the sums; the result is the same whichever way is taken.
+    summed per foreign key, so that even a key with a third of all events reaches the join as one row, and every step
+    shuffles fewer rows. Where columns of the events themselves are carried, such sums would hardly shorten anything;
+    rows are then joined as they are, and Spark splits hot keys of the join (`adaptive.skewJoin`).
+    Returns the rows and the aggregates that finish the sums; the result is the same whichever way is taken.
     """
+    additive = not set(carry) & set(events.columns)
     child_keys = [hop.child_key for hop in hops]
     rows = events
     for i, hop in enumerate(hops):
@@ -93,7 +97,7 @@ def walk(events: DataFrame, hops: list[Hop], sums: dict[str, Column],
             F.col(hop.parent_key).alias("_parent_key"),
             *[c for c in hop.parent.columns if c in later and c not in rows.columns],
         )
-        if not within_broadcast(parent):
+        if additive and not within_broadcast(parent):
             kept = [c for c in rows.columns if c in {*child_keys[i:], *carry}]
             rows = rows.groupBy(*kept).agg(*(total.alias(name) for name, total in sums.items()))
             sums = {name: F.sum(name) for name in sums}

@@ -104,8 +104,7 @@ def mechanism_breakdown(events: DataFrame, hops: list[Hop], metric: str, submitt
                         scale: int | None = None) -> DataFrame:
     """Events and revenue per mechanism; the last hop brings the end of the entitlement.
 
-    The mechanism needs metric, day and end together. As it depends on an event only through metric and day, events are
-    summed per distinct pair on the way to a large parent, which keeps hot keys small.
+    The mechanism needs metric, day and end of one event together, so events are joined row by row and summed after.
     """
     sums = {"events": F.count(F.lit(1)), "_total": F.sum(minor_units(F.col(metric), scale))}
     rows, sums = walk(events, hops, sums, [metric, submitted, ended])

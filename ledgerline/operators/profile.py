@@ -53,24 +53,37 @@ class Counts:
     labels: list[dict[str, str]]
 
 
-def value_counts(rows: DataFrame, columns: list[str] | None = None, weight: str | None = None,
-                 labels: dict[str, str] | None = None) -> list[Counts]:
-    """How often each value of each column occurs, one set of counts per family of types.
+@dataclass(frozen=True)
+class Columns:
+    """Columns of one table whose values are to be counted; a row counts `weight` times, or once."""
+
+    rows: DataFrame
+    names: list[str]
+    labels: dict[str, str]
+    weight: str | None = None
+
+
+def value_counts(tables: list[Columns]) -> list[Counts]:
+    """How often each value of each column of some tables occurs, one set of counts per family of types.
 
     Columns are turned into rows and counted before the shuffle, so columns of few values cost next to nothing and each
-    scan reads only the columns of its family. With `weight`, a row counts that many times.
+    scan reads only the columns of its family. All tables share one shuffle per family.
     """
-    columns = [c for c in (columns or rows.columns) if c != weight]
     found = []
     for family in ("whole", "real", "text"):
-        members = [c for c in columns if _family(rows.schema[c].dataType) == family]
-        if not members:
-            continue
-        values = F.posexplode(F.array(*[_comparable(c, rows.schema[c].dataType) for c in members]))
-        long = rows.select(*([weight] if weight else []), values.alias("column_id", "value"))
-        n = F.sum(weight) if weight else F.count(F.lit(1))
-        found.append(Counts(long.groupBy("column_id", "value").agg(n.alias("n")),
-                            [{**(labels or {}), "column_name": c} for c in members]))
+        parts, labels = [], []
+        for t in tables:
+            types = {c: t.rows.schema[c].dataType for c in t.names}
+            members = [c for c in t.names if _family(types[c]) == family]
+            if members:
+                values = F.posexplode(F.array(*[_comparable(c, types[c]) for c in members])).alias("position", "value")
+                weight = F.col(t.weight) if t.weight else F.lit(1).cast("bigint")
+                long = t.rows.select(weight.alias("weight"), values)
+                parts.append(long.select((F.col("position") + len(labels)).alias("column_id"), "value", "weight"))
+                labels += [{**t.labels, "column_name": c} for c in members]
+        if parts:
+            counted = union(parts).groupBy("column_id", "value").agg(F.sum("weight").alias("n"))
+            found.append(Counts(counted, labels))
     return found
 
 
@@ -111,9 +124,8 @@ def frequency_summary(counts: list[Counts]) -> DataFrame:
 
 def column_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per column of every table: nulls, distinct values, whether it is a candidate key or constant."""
-    summary = frequency_summary([
-        counts for name, rows in tables.items() for counts in value_counts(rows, labels={"table_name": name})
-    ])
+    columns = [Columns(rows, rows.columns, {"table_name": name}) for name, rows in tables.items()]
+    summary = frequency_summary(value_counts(columns))
     return summary.select(
         "table_name", "column_name", "row_count", "null_count", "distinct_count",
         ((F.col("null_count") == 0) & (F.col("distinct_count") == F.col("row_count"))).alias("is_candidate_key"),
@@ -229,7 +241,7 @@ def joined_value_counts(events: DataFrame, hops: list[Hop]) -> list[Counts]:
     of a parent sum up from those of its children. So every table is unpivoted at its own size. Holds for joins that lose
     no event, which the join report tells.
     """
-    counts = value_counts(events)
+    counted = [Columns(events, events.columns, {})]
     weighted: dict[str, DataFrame] = {}
     for hop in hops:
         child = next((weighted[h.name] for h in hops if h.name in weighted and hop.child_key in h.parent.columns), None)
@@ -238,5 +250,5 @@ def joined_value_counts(events: DataFrame, hops: list[Hop]) -> list[Counts]:
                    child.groupBy(F.col(hop.child_key).alias("_child")).agg(F.sum("_weight").alias("_weight")))
         weighted[hop.name] = hop.parent.join(per_key, hop.parent[hop.parent_key] == per_key["_child"]).drop("_child")
         attributes = [c for c in hop.parent.columns if c != hop.parent_key]
-        counts += value_counts(weighted[hop.name], attributes, "_weight")
-    return counts
+        counted.append(Columns(weighted[hop.name], attributes, {}, "_weight"))
+    return value_counts(counted)

@@ -2,31 +2,39 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BIGINT, DOUBLE, BOOLEAN, TEXT = "BIGINT", "DOUBLE PRECISION", "BOOLEAN", "TEXT"
 SPARK_TYPES = {BIGINT: "bigint", DOUBLE: "double", BOOLEAN: "boolean", TEXT: "string"}
-# Plain decimal notation; a cast alone would also take the suffixes of Java literals, such as 12d.
-_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# A failing cast is slow, so casts only see texts of these forms. This also keeps out the suffixes of Java literals,
+# such as 12d.
 _WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def _whole(text: Column) -> Column:
+    return F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
 
 
 def _number(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
-def _kinds_seen(text: Column) -> Column:
-    """A bit set of what the values of a text column are: 1 true or false, 2 whole, 4 fractional, 8 other text."""
-    kind = (
-        F.when(text.isNull(), 0)
-        .when(text.rlike(_WHOLE), 2)
-        .when(text.rlike(_NUMBER), F.when(text.try_cast("double") % 1 == 0, 2).otherwise(4))
-        .when(F.lower(text).isin("true", "false"), 1)
-        .otherwise(8)
-    )
-    return F.bit_or(kind)
+def _logical(text: Column) -> Column:
+    return F.lower(text).isin("true", "false")
+
+
+def _named(column: Column, names: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in names]), column + 1).alias("column_name")
+
+
+def _long(rows: DataFrame, names: list[str]) -> DataFrame:
+    """(position, value) of some text columns: one test expression then serves them all and stays compilable."""
+    return rows.select(F.posexplode(F.array(*[F.col(f"`{n}`") for n in names])).alias("position", "value"))
 
 
 def infer_types(rows: DataFrame) -> DataFrame:
@@ -34,30 +42,42 @@ def infer_types(rows: DataFrame) -> DataFrame:
 
     Typed columns keep their kind. Text is numeric only if every value is, and whole only if every value is.
     """
-    tests = []
+    texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
+    known = []
     for field in rows.schema.fields:
-        if isinstance(field.dataType, T.BooleanType):
-            found = F.lit(1)
-        elif isinstance(field.dataType, T.IntegralType):
-            found = F.lit(2)
-        elif isinstance(field.dataType, T.FractionalType):
-            found = F.lit(4)
-        else:
-            found = _kinds_seen(F.col(f"`{field.name}`")) if isinstance(field.dataType, T.StringType) else F.lit(8)
-        tests.append(found.alias(field.name))
-    seen = rows.agg(*tests).unpivot([], [F.col(f"`{c}`") for c in rows.columns], "column_name", "seen")
-    kind = F.when(F.col("seen") == 1, BOOLEAN).when(F.col("seen") == 2, BIGINT)
-    return seen.select("column_name", kind.when(F.col("seen").isin(4, 6), DOUBLE).otherwise(TEXT).alias("inferred_type"))
+        if field.name not in texts:
+            kind = (BOOLEAN if isinstance(field.dataType, T.BooleanType) else
+                    BIGINT if isinstance(field.dataType, T.IntegralType) else
+                    DOUBLE if isinstance(field.dataType, T.FractionalType) else TEXT)
+            known.append((field.name, kind))
+    result = rows.sparkSession.createDataFrame(known, "column_name string, inferred_type string")
+    if texts:
+        value = F.col("value")
+        # A bit set of what values there are: 1 true or false, 2 whole, 4 fractional, 8 other text.
+        what = (
+            F.when(value.isNull(), 0)
+            .when(value.rlike(_WHOLE), 2)
+            .when(value.rlike(_NUMBER), F.when(value.try_cast("double") % 1 == 0, 2).otherwise(4))
+            .when(_logical(value), 1)
+            .otherwise(8)
+        )
+        seen = _long(rows, texts).groupBy("position").agg(F.bit_or(what).alias("seen"))
+        kind = F.when(F.col("seen") == 1, BOOLEAN).when(F.col("seen") == 2, BIGINT).when(
+            F.col("seen").isin(4, 6), DOUBLE).otherwise(TEXT)
+        # Without any row there is nothing to see, and the column is text.
+        every = rows.sparkSession.range(len(texts)).select(F.col("id").cast("int").alias("position"))
+        seen = every.join(seen, "position", "left")
+        result = result.unionByName(seen.select(_named(F.col("position"), texts), kind.alias("inferred_type")))
+    return result
 
 
 def conformed(text: Column, kind: str) -> Column:
     """A text value in the chosen type; whole numbers are rounded, ties to even. What does not fit becomes null."""
     if kind == BIGINT:
-        whole = F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
-        return F.coalesce(whole, F.rint(_number(text)).try_cast("bigint"))
+        return F.coalesce(_whole(text), F.rint(_number(text)).try_cast("bigint"))
     if kind == DOUBLE:
         return _number(text)
-    return text.try_cast(SPARK_TYPES[kind])
+    return F.when(_logical(text), F.lower(text) == "true") if kind == BOOLEAN else text
 
 
 def conform(rows: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -66,17 +86,18 @@ def conform(rows: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def changed_values(rows: DataFrame, types: dict[str, str]) -> DataFrame:
-    """(column_name, rounded_values, lost_values): what conforming changes silently, counted in one pass."""
-    counts = []
-    for name in rows.columns:
-        text, kind = F.col(f"`{name}`"), types[name]
-        fate = F.when(text.isNull(), 0).when(conformed(text, kind).isNull(), 2)
+    """(column_name, rounded_values, lost_values): what conforming text columns changes silently."""
+    value = F.col("value")
+    parts = []
+    for kind in (BIGINT, DOUBLE, BOOLEAN, TEXT):
+        names = [c for c in rows.columns if types[c] == kind]
+        if not names:
+            continue
+        lost = value.isNotNull() & conformed(value, kind).isNull()
+        rounded = F.lit(False)
         if kind == BIGINT:
-            fate = fate.when(~text.rlike(_WHOLE) & (_number(text) % 1 != 0), 1)
-        fate = fate.otherwise(0)
-        counts += [F.count_if(fate == 1).alias(f"rounded_{name}"), F.count_if(fate == 2).alias(f"lost_{name}")]
-    entries = F.explode(F.array(*[
-        F.struct(F.lit(n).alias("column_name"), F.col(f"`rounded_{n}`").alias("rounded_values"),
-                 F.col(f"`lost_{n}`").alias("lost_values")) for n in rows.columns
-    ]))
-    return rows.agg(*counts).select(entries.alias("entry")).select("entry.*")
+            rounded = value.isNotNull() & ~value.rlike(_WHOLE) & (_number(value) % 1 != 0)
+        counted = _long(rows, names).groupBy("position").agg(
+            F.count_if(rounded).alias("rounded_values"), F.count_if(lost).alias("lost_values"))
+        parts.append(counted.select(_named(F.col("position"), names), "rounded_values", "lost_values"))
+    return reduce(DataFrame.unionByName, parts)
