@@ -50,7 +50,7 @@ def require_unique(hops: list[Hop]) -> None:
 
 
 def checked_join(events: DataFrame, hops: list[Hop], how: str = "inner", validate: bool = True) -> DataFrame:
-    """Join every hop in turn after testing that its parent key is unique.
+    """Join every hop in turn after testing that its parent key is unique; keys of the same name become one column.
 
     No side is forced to be broadcast: Spark does that by the size of the table (`autoBroadcastJoinThreshold`, and again
     with measured sizes at run time), and splits hot keys of the other joins (`adaptive.skewJoin`).
@@ -59,14 +59,16 @@ def checked_join(events: DataFrame, hops: list[Hop], how: str = "inner", validat
         require_unique(hops)
     joined = events
     for hop in hops:
-        joined = joined.join(hop.parent, joined[hop.child_key] == hop.parent[hop.parent_key], how)
+        same = hop.child_key == hop.parent_key
+        on = hop.child_key if same else F.col(hop.child_key) == F.col(hop.parent_key)
+        joined = joined.join(hop.parent, on, how)
     return joined
 
 
 def lookup_or(rows: DataFrame, hop: Hop, found: str, fallbacks: list[Column], alias: str) -> DataFrame:
     """Left lookup of one parent column, or the first fallback that has a value."""
     parent = hop.parent.select(F.col(hop.parent_key).alias("_key"), F.col(found).alias("_found"))
-    joined = rows.join(parent, rows[hop.child_key] == parent["_key"], "left")
+    joined = rows.join(parent, F.col(hop.child_key) == F.col("_key"), "left")
     return joined.withColumn(alias, F.coalesce("_found", *fallbacks)).drop("_key", "_found")
 
 
@@ -101,7 +103,7 @@ def walk(events: DataFrame, hops: list[Hop], sums: dict[str, Column],
             kept = [c for c in rows.columns if c in {*child_keys[i:], *carry}]
             rows = rows.groupBy(*kept).agg(*(total.alias(name) for name, total in sums.items()))
             sums = {name: F.sum(name) for name in sums}
-        rows = rows.join(parent, rows[hop.child_key] == parent["_parent_key"]).drop("_parent_key")
+        rows = rows.join(parent, F.col(hop.child_key) == F.col("_parent_key")).drop("_parent_key")
     return rows, sums
 
 

@@ -248,7 +248,7 @@ def joined_value_counts(events: DataFrame, hops: list[Hop]) -> list[Counts]:
         per_key = (events.groupBy(F.col(hop.child_key).alias("_child")).agg(F.count(F.lit(1)).alias("_weight"))
                    if child is None else
                    child.groupBy(F.col(hop.child_key).alias("_child")).agg(F.sum("_weight").alias("_weight")))
-        weighted[hop.name] = hop.parent.join(per_key, hop.parent[hop.parent_key] == per_key["_child"]).drop("_child")
+        weighted[hop.name] = hop.parent.join(per_key, F.col(hop.parent_key) == F.col("_child")).drop("_child")
         attributes = [c for c in hop.parent.columns if c != hop.parent_key]
         counted.append(Columns(weighted[hop.name], attributes, {}, "_weight"))
     return value_counts(counted)

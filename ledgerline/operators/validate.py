@@ -21,7 +21,7 @@ def join_results(left: DataFrame, right: DataFrame, key: str, suffixes: tuple[st
                     F.lit(True).alias("_left"))
     b = right.select(F.col(key).alias("_other"), *[F.col(c).alias(c + suffixes[1]) for c in right.columns if c != key],
                      F.lit(True).alias("_right"))
-    joined = a.join(b, a[key].eqNullSafe(b["_other"]), "full_outer")
+    joined = a.join(b, F.col(key).eqNullSafe(F.col("_other")), "full_outer")
     side = F.when(F.col("_right").isNull(), "left only").when(F.col("_left").isNull(), "right only").otherwise("both")
     return joined.withColumn(key, F.when(F.col("_left"), F.col(key)).otherwise(F.col("_other"))) \
         .withColumn("side", side).drop("_other", "_left", "_right")
@@ -116,7 +116,7 @@ def join_report(events: DataFrame, hops: list[Hop]) -> DataFrame:
     def value(name: str) -> Column:
         return F.sum(F.when(F.col("what") == name, F.col("n")))
 
-    width = len(events.columns) + sum(len(h.parent.columns) for h in hops)
+    width = len(events.columns) + sum(len(h.parent.columns) - (h.child_key == h.parent_key) for h in hops)
     return union([before, after, *lost]).agg(
         value("before").alias("rows_before"), value("after").alias("rows_after"),
         (value("after") - value("before")).alias("delta"),

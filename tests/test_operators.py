@@ -173,7 +173,7 @@ def test_first_per_key_puts_missing_values_last(spark):
 
 def test_numbering_splits_hot_keys(spark):
     rows = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("k"))
-    found = prepare.numbered(rows, "k", "id", slices=7).collect()
+    found = prepare.numbered(rows, "k", "id", rows_per_slice=150).collect()
     hot = sorted((r.id, r.number) for r in found if r.k == -1)
     assert [n for _, n in hot] == list(range(1, len(hot) + 1))
     assert all(r.number == 1 for r in found if r.k != -1) and len(found) == 1000
