@@ -16,8 +16,8 @@ from ledgerline.streaming import totals
 
 
 def stream(spark, root, name):
-    described = catalog(root).tables[name]
-    return totals.stream_files(spark, root, described.schema, described.file)
+    tables = catalog(root)
+    return totals.stream_files(spark, tables.path_for(name), tables.tables[name].schema)
 
 
 def streamed_lines(spark, root):

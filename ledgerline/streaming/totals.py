@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +13,27 @@ from ledgerline.operators.metrics import NON_NULL, finish, minor_units, partial_
 from ledgerline.session import work_dir
 
 
-def stream_files(spark: SparkSession, folder: str, schema: str, pattern: str, format: str = "parquet",
+def stream_files(spark: SparkSession, path: str, schema: str, format: str = "parquet",
                  files_per_batch: int | None = None) -> DataFrame:
-    """The files of a folder that match a pattern, as a stream."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    """The files below a path (a folder, one file, or a pattern), as a stream."""
+    if not set(path) & set("*?[{"):
+        # A plain path would be taken as the root of partition folders, which a single file cannot be.
+        path = f"{path[:-1]}[{path[-1]}]"
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.format(format).load(folder)
+    return reader.format(format).load(path)
+
+
+def stored_batches(spark: SparkSession, target: str, schema: str) -> DataFrame:
+    """What the batches have written so far, with the number of the batch; nothing if there was none yet."""
+    schema = f"{schema}, batch bigint"
+    try:
+        return spark.read.schema(schema).parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def run_available(stream: DataFrame, checkpoint: str, output_mode: str,
@@ -56,9 +71,8 @@ def stored_totals(events: DataFrame, key: str, metric: str, target: str, checkpo
 
     totals = running_totals(events, key, metric, scale)
     run_available(totals, checkpoint, "update", write_batch)
-    spark = events.sparkSession
-    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in totals.schema.fields)}, batch bigint"
-    history = spark.read.schema(schema).option("basePath", target).parquet(target)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in totals.schema.fields)
+    history = stored_batches(events.sparkSession, target, schema)
     newest = F.max_by(F.struct("txn_count", "score_total"), "batch").alias("newest")
     return history.groupBy(key).agg(newest).select(key, "newest.*")
 
@@ -82,7 +96,7 @@ def totals_of(spark: SparkSession, target: str, key: str, scale: int | None = No
               definition: str = NON_NULL) -> DataFrame:
     """The totals so far: the sum of all stored increments."""
     kind = "double" if scale is None else "bigint"
-    stored = spark.read.schema(f"{key} string, _rows bigint, _values bigint, _total {kind}").parquet(f"{target}/batch=*")
+    stored = stored_batches(spark, target, f"{key} string, _rows bigint, _values bigint, _total {kind}")
     merged = stored.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("_rows", "_values", "_total")])
     return finish(merged, key, definition, scale)
 

@@ -30,7 +30,7 @@ def test_increments_continue_and_equal_batch(spark, folder, tmp_path):
     target, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
     def run():
-        stream = totals.stream_files(spark, f"{path}/*", SCHEMA, "*.parquet")
+        stream = totals.stream_files(spark, f"{path}/*", SCHEMA)
         totals.increments(stream, hops, "region", "score", target, checkpoint, scale=2)
 
     add(1, [(1, 1.25), (2, None), (3, 4.0)])
@@ -49,7 +49,7 @@ def test_stateful_totals_continue_and_equal_batch(spark, folder, tmp_path):
     target, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
     def run():
-        stream = totals.stream_files(spark, f"{path}/*", SCHEMA, "*.parquet")
+        stream = totals.stream_files(spark, f"{path}/*", SCHEMA)
         return totals.stored_totals(stream, "user_id", "score", target, checkpoint, scale=2)
 
     add(1, [(1, 1.25), (2, None)])
@@ -58,6 +58,20 @@ def test_stateful_totals_continue_and_equal_batch(spark, folder, tmp_path):
     assert as_set(run()) == {(1, 2, 3.75), (2, 0, 0.0), (3, 1, 3.0)}
 
 
+def test_totals_before_the_first_batch(spark, tmp_path):
+    assert totals.totals_of(spark, str(tmp_path / "none"), "region").count() == 0
+
+
+def test_stream_of_one_file_and_of_a_folder(spark, data, tmp_path):
+    schema = "r_regionkey int, r_name string"
+    spark.read.parquet(f"{data}/region.parquet").write.parquet(str(tmp_path / "region.parquet"))
+    for number, path in enumerate((f"{data}/region.parquet", str(tmp_path / "region.parquet"))):
+        rows = totals.stream_files(spark, path, schema)
+        found = totals.stored_totals(rows, "r_name", "r_regionkey", str(tmp_path / f"out{number}"),
+                                     str(tmp_path / f"checkpoint{number}"), scale=0)
+        assert found.count() == 5
+
+
 def test_work_folders_lie_below_the_shared_folder(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
