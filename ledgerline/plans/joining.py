@@ -22,7 +22,7 @@ def j1(spark, root):
 
 
 @query("j1_parent_keys", " UNION ALL ".join(
-    f"SELECT '{t}' AS parent, '{k}' AS parent_key, count(*) FILTER (WHERE n > 1) AS repeated_keys, 0 AS null_keys "
+    f"SELECT '{t}' AS parent, '{k}' AS parent_key, count(*) FILTER (WHERE n > 1) AS repeated_keys, CAST(0 AS BIGINT) AS null_keys "
     f"FROM (SELECT {k}, count(*) AS n FROM {t} GROUP BY {k})"
     for t, k in [("orders", "o_orderkey"), ("customer", "c_custkey"), ("nation", "n_nationkey"),
                  ("region", "r_regionkey"), ("part", "p_partkey")]))
@@ -36,12 +36,12 @@ WIDTH = 1 + sum(len(catalog("").tables[t].schema.split(", "))
 
 def join_report_sql(joined: str, orphans: str, width: int) -> str:
     return f"""SELECT (SELECT count(*) FROM lineitem) AS rows_before, (SELECT count(*) FROM {joined}) AS rows_after,
-  (SELECT count(*) FROM {joined}) - (SELECT count(*) FROM lineitem) AS delta, {width} AS columns_after, {orphans}"""
+  (SELECT count(*) FROM {joined}) - (SELECT count(*) FROM lineitem) AS delta, CAST({width} AS BIGINT) AS columns_after, {orphans}"""
 
 
 @query("j2_join_report", join_report_sql(
     f"{STAR_SQL} JOIN part ON p_partkey = l_partkey",
-    ", ".join(f"0 AS orphans_{t}" for t in ["orders", "customer", "nation", "region", "part"]), WIDTH))
+    ", ".join(f"CAST(0 AS BIGINT) AS orphans_{t}" for t in ["orders", "customer", "nation", "region", "part"]), WIDTH))
 def j2(spark, root):
     return validate.join_report(lines(spark, root), all_parents(spark, root))
 
@@ -57,7 +57,7 @@ def credit_path(spark, root):
 
 @query("j2_lossy_join_report", join_report_sql(
     f"lineitem JOIN orders ON o_orderkey = l_orderkey JOIN {CREDIT_SQL} c ON c_custkey = o_custkey",
-    f"""0 AS orphans_orders, (SELECT count(*) FROM orders WHERE NOT EXISTS
+    f"""CAST(0 AS BIGINT) AS orphans_orders, (SELECT count(*) FROM orders WHERE NOT EXISTS
     (SELECT 1 FROM {CREDIT_SQL} c WHERE c_custkey = o_custkey)) AS orphans_customer""",
     1 + sum(len(catalog("").tables[t].schema.split(", ")) for t in ["lineitem", "orders", "customer"])))
 def j2_lossy(spark, root):

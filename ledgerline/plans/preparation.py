@@ -52,7 +52,7 @@ def p3(spark, root):
 
 def uniqueness_sql(source: str, keys: str) -> str:
     return f"""SELECT CAST(sum(n) AS BIGINT) AS row_count, count(*) AS distinct_keys,
-  count(*) FILTER (WHERE n > 1) AS repeated_keys, 0 AS null_keys, max(n) = 1 AS is_unique
+  count(*) FILTER (WHERE n > 1) AS repeated_keys, CAST(0 AS BIGINT) AS null_keys, max(n) = 1 AS is_unique
   FROM (SELECT {keys}, count(*) AS n FROM {source} GROUP BY {keys})"""
 
 
@@ -106,7 +106,7 @@ def union_sql(part) -> str:
 
 @query("f1_table_profile", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{catalog('').role(t)}' AS role, count(*) AS row_count, "
-    f"{len(COLUMNS[t])} AS column_count, '{','.join(COLUMNS[t])}' AS column_names FROM {t}" for t in PROFILED))
+    f"CAST({len(COLUMNS[t])} AS BIGINT) AS column_count, '{','.join(COLUMNS[t])}' AS column_names FROM {t}" for t in PROFILED))
 def f1(spark, root):
     return profile.table_profile(with_roles(spark, root))
 
@@ -237,7 +237,7 @@ def f9(spark, root):
 QUALIFYING = [t for t in PROFILED if catalog("").role(t) in ("Event", "Entity")]
 
 
-@query("f10_volume", f"""SELECT {len(QUALIFYING)} AS qualifying_tables, count(*) AS event_rows,
+@query("f10_volume", f"""SELECT CAST({len(QUALIFYING)} AS BIGINT) AS qualifying_tables, count(*) AS event_rows,
   {len(QUALIFYING)} >= 3 AS enough_tables, count(*) >= 50000 AS enough_rows FROM lineitem""")
 def f10(spark, root):
     return profile.volume(with_roles(spark, root))
