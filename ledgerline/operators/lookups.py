@@ -16,10 +16,13 @@ NOT_FOUND = "NOT_FOUND"
 
 
 def lookup(table: DataFrame, key: str, value) -> DataFrame:
-    """The row of one key, or one row with status NOT_FOUND; the key filter reaches the scan."""
-    asked = table.sparkSession.range(1).select(F.lit(value).cast(table.schema[key].dataType).alias(key))
-    hit = table.filter(F.col(key) == F.lit(value)).withColumn("_hit", F.lit(True))
-    return asked.join(hit, key, "left").withColumn("status", F.when(F.col("_hit"), FOUND).otherwise(NOT_FOUND)).drop("_hit")
+    """The rows of one key, or one row with status NOT_FOUND. The key filter reaches the scan; nothing is joined."""
+    hits = table.filter(F.col(key) == F.lit(value))
+    none = hits.select(F.lit(1)).limit(1).agg(F.count(F.lit(1)).alias("_hits")).filter("_hits = 0")
+    empty = [
+        (F.lit(value) if f.name == key else F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema.fields
+    ]
+    return hits.withColumn("status", F.lit(FOUND)).unionByName(none.select(*empty, F.lit(NOT_FOUND).alias("status")))
 
 
 def batch_lookup(table: DataFrame, key: str, asked: DataFrame) -> DataFrame:

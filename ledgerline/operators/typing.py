@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BIGINT, DOUBLE, BOOLEAN, TEXT = "BIGINT", "DOUBLE PRECISION", "BOOLEAN", "TEXT"
-SPARK_TYPES = {BIGINT: "bigint", DOUBLE: "double", BOOLEAN: "boolean", TEXT: "string"}
 # A failing cast is slow, so casts only see texts of these forms. This also keeps out the suffixes of Java literals,
 # such as 12d.
 _WHOLE = r"^\s*[+-]?[0-9]+\s*$"

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ledgerline.operators.joins import Hop
 from ledgerline.operators.lookups import STREAM_LIMIT, ordered
 from ledgerline.operators.metrics import ALL_ROWS, group_metric, service_names
 from ledgerline.plans.metrics import SERVICE, keyed_sql
 from ledgerline.plans.registry import query
-from ledgerline.plans.tables import catalog, lines, score, table, to_nation, to_region
+from ledgerline.plans.tables import catalog, lines, score, table, to_region
 from ledgerline.session import work_dir
 from ledgerline.sources.files import write_compact_json
 from ledgerline.streaming import totals

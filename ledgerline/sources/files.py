@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.scalars import clean_names, formatted, json_row
-from ledgerline.operators.typing import SPARK_TYPES, conform, infer_types
+from ledgerline.operators.typing import conform, infer_types
 
 # The texts that a delimited file may hold for a missing value.
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
@@ -91,8 +91,3 @@ def load_table(spark: SparkSession, csv_path: str, table: str, table_path: str |
     writer = conform(rows, types).write.mode("overwrite").format("parquet")
     (writer.option("path", table_path) if table_path else writer).saveAsTable(table)
     return spark.table(table).count()
-
-
-def spark_schema(types: dict[str, str]) -> str:
-    """A schema text from inferred types."""
-    return ", ".join(f"`{name}` {SPARK_TYPES[kind]}" for name, kind in types.items())

@@ -1,8 +1,6 @@
 """Streams that go on where they stopped, and give the batch result."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from ledgerline.operators.joins import Hop
 from ledgerline.operators.metrics import ALL_ROWS, NON_NULL, group_metric
 from ledgerline.session import work_dir
