@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import jaccard, neighbours, topk
+from ledgerline.llm import jaccard, langid, mixing, neighbours, packing, token_counts, topk, toxicity
 from ledgerline.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,30 @@ def nearest_neighbours(table):
 def ngram_jaccard_join(table):
     found = jaccard.near_duplicates(table("documents"), words=3, num=9, den=10)
     return found.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id")
+
+
+@query("op5_curve_packing")
+def curve_packing(table):
+    return packing.pack(table("documents"), packing.vocabulary("byte_bpe_50k.json"))
+
+
+@query("op7_token_counts")
+def count_tokens(table):
+    return token_counts.token_counts(table("documents"), packing.vocabulary("word_bpe_49k.json"))
+
+
+@query("op4_language_id")
+def language_id(table):
+    return langid.identify(table("documents"))
+
+
+@query("op6_toxicity")
+def toxic_severity(table):
+    return toxicity.severity(table("documents"), table("labels"))
+
+
+@query("op8_source_mixing")
+def source_mixing(table):
+    _, rows = mixing.copies(table("documents"), mixing.Target(passes=1.25))
+    return rows.select("doc_id", "source", F.col("__weight").alias("weight"), F.col("__copies").alias("copies"),
+                       F.col("__block").alias("block"), F.col("__place").alias("place"))
