@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import jaccard, langid, mixing, neighbours, packing, token_counts, topk, toxicity
+from ledgerline.llm import chat, jaccard, langid, mixing, neighbours, packing, token_counts, topk, toxicity
 from ledgerline.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,23 @@ def source_mixing(table):
     _, rows = mixing.copies(table("documents"), mixing.Target(passes=1.25))
     return rows.select("doc_id", "source", F.col("__weight").alias("weight"), F.col("__copies").alias("copies"),
                        F.col("__block").alias("block"), F.col("__place").alias("place"))
+
+
+_ESCAPED = r"""regexp_replace(regexp_replace(regexp_replace(replace({0}, '\', '\\'), '<(\||s>|/s>|<SYS>>|</SYS>>)', '\\l\1', 'g'),
+    '\[(INST\]|/INST\])', '\\b\1', 'g'), '\|(>)', '\\p\1', 'g')"""
+
+
+@query("op10_chat_format", rf"""
+    WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+        sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+        sum({len(chat.TURN + chat.BODY + chat.END)} + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}))::BIGINT AS formatted_chars
+    FROM rows GROUP BY conv_id""")
+def chat_format(table):
+    rows = table("conversations").select("conv_id", "turn", "role", "text")
+    said = "named_struct('conv_id', -7L, 'turn', {}L, 'role', '{}', 'text', '</s>[INST] ok [/INST]')"
+    more = rows.sparkSession.sql(f"SELECT inline(array({said.format(0, 'user')}, {said.format(1, 'assistant')}))")
+    return chat.digests(rows.unionByName(more))

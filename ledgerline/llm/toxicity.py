@@ -12,19 +12,31 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.shingles import Words, batches
 
-BITS = 20  # hashed features
+BITS = 40  # of a hashed feature
 STEMS = (4, 5, 6)  # bytes of a word's beginning that are features besides the whole word
 GRADES = 3  # above grade 0
+RATIO = 5
 
 
 @dataclass(frozen=True)
 class Model:
-    """P(grade >= j) = logistic(features . weights - thresholds[j - 1]); thresholds rise, weights are shared."""
+    """P(grade >= j) = logistic(sum of weights - thresholds[j - 1]); thresholds rise, weights are shared."""
 
     features: np.ndarray  # ascending
     weights: np.ndarray
     thresholds: np.ndarray
 
+    def scores(self, text: np.ndarray, feature: np.ndarray, n: int) -> np.ndarray:
+        """The sum of the weights of each of n texts' features."""
+        if not len(self.features):
+            return np.zeros(n)
+        may = np.zeros(1 << 16, bool)
+        may[self.features & 0xFFFF] = True
+        held = np.flatnonzero(may[feature & 0xFFFF])
+        at = np.minimum(np.searchsorted(self.features, feature[held]), len(self.features) - 1)
+        found = self.features[at] == feature[held]
+        return np.bincount(text[held[found]], weights=self.weights[at[found]], minlength=n)
+
     def above(self, score: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds, -500, 500)))
 
@@ -42,27 +54,29 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def train(examples: list[tuple[int, np.ndarray]], keep: int = 1 << 13, rounds: int = 300) -> Model:
     """examples: (toxic 0 or 1, feature numbers).
 
-    Features: the `keep` most telling by the difference of their shares in toxic and other texts, in standard errors, if over
-    4. Grades of toxic texts are the thirds of their number of telling toxic features; other texts have grade 0.
+    Features: the `keep` most telling by the difference of their shares in toxic and other texts, in standard errors, if
+    over 4 and if toxic texts have them RATIO times as often. Grades of toxic texts are the thirds of their number of such
+    features; other texts have grade 0.
     """
     y = np.array([t for t, _ in examples])
     none = Model(np.zeros(0, np.int64), np.zeros(0), np.full(GRADES, np.inf))
     if not y.any():
         return none
     row = np.repeat(np.arange(len(y)), [len(f) for _, f in examples])
-    column = np.concatenate([f for _, f in examples])
-    with_, all_ = (np.bincount(column[m], minlength=1 << BITS).astype(float) for m in (y[row] == 1, slice(None)))
-    p, q, m, n = with_ / y.sum(), (all_ - with_) / max((1 - y).sum(), 1), y.sum(), max((1 - y).sum(), 1)
+    names, column = np.unique(np.concatenate([f for _, f in examples]), return_inverse=True)
+    with_, all_ = (np.bincount(column[m], minlength=len(names)).astype(float) for m in (y[row] == 1, slice(None)))
+    m, n = y.sum(), max((1 - y).sum(), 1)
+    p, q = with_ / m, (all_ - with_) / n
     pooled = all_ / len(y)
     z = (p - q) / np.sqrt(pooled * (1 - pooled) * (1 / m + 1 / n) + 1e-12)
-    chosen = np.argsort(-np.abs(z), kind="stable")[:keep]
-    chosen = np.sort(chosen[(np.abs(z[chosen]) > 4) & (all_[chosen] >= 3)])
+    chosen = np.argsort(-z, kind="stable")[:keep]
+    chosen = np.sort(chosen[(z[chosen] > 4) & (p[chosen] > RATIO * q[chosen])])
     if not len(chosen):
         return none
-    at = np.searchsorted(chosen, column)
-    held = (at < len(chosen)) & (chosen[np.minimum(at, len(chosen) - 1)] == column)
-    row, column = row[held], at[held]
-    telling = np.bincount(row, weights=(z[chosen] > 0)[column].astype(float), minlength=len(y))
+    place = np.full(len(names), -1)
+    place[chosen] = np.arange(len(chosen))
+    row, column = row[place[column] >= 0], place[column[place[column] >= 0]]
+    telling = np.bincount(row, minlength=len(y))
     cuts = np.quantile(telling[y == 1], np.arange(1, GRADES) / GRADES)
     grade = np.where(y == 1, 1 + np.searchsorted(cuts, telling, side="left"), 0)
     over = (grade[:, None] > np.arange(GRADES)).astype(float)
@@ -83,7 +97,7 @@ def train(examples: list[tuple[int, np.ndarray]], keep: int = 1 << 13, rounds: i
             square[...] = 0.999 * square + 0.001 * slope**2
             moved.append(value - 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-9))
         weights, first, gaps = moved
-    return Model(chosen, weights, first + np.concatenate([[0], np.cumsum(np.exp(gaps))]))
+    return Model(names[chosen], weights, first + np.concatenate([[0], np.cumsum(np.exp(gaps))]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> Model:
@@ -102,11 +116,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> Model:
         for batch in batches(stream):
             text, feature = features(batch.column(1))
             first = np.searchsorted(text, np.arange(batch.num_rows + 1))
-            packed = [feature[a:b].astype("<i4").tobytes() for a, b in zip(first, first[1:])]
+            packed = [feature[a:b].astype("<i8").tobytes() for a, b in zip(first, first[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["toxic", "features"])
 
     found = rows.mapInArrow(run, "toxic int, features binary").collect()  # the bounded sample
-    return train([(r.toxic, np.frombuffer(bytes(r.features), "<i4")) for r in found])
+    return train([(r.toxic, np.frombuffer(bytes(r.features), "<i8")) for r in found])
 
 
 def severity(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> DataFrame:
@@ -121,11 +135,9 @@ def severity(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> DataFram
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        weights = np.zeros(1 << BITS, np.float32)
-        weights[model.features] = model.weights
         for batch in batches(stream):
             text, feature = features(batch.column(1))
-            score = np.bincount(text, weights=weights[feature], minlength=batch.num_rows)
+            score = model.scores(text, feature, batch.num_rows)
             above = model.above(score)
             exactly = -np.diff(np.concatenate([np.ones((len(score), 1)), above, np.zeros((len(score), 1))], 1), axis=1)
             yield pa.RecordBatch.from_arrays(
