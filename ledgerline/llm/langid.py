@@ -132,29 +132,32 @@ def fit(docs: DataFrame, sample: int = 4000, profile: int = 3000) -> Filters:
     return build(langs, [(r.lang, r.gram) for r in best.select("lang", "gram").collect()])
 
 
+def _scored(model: Filters, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(lang_pred, score, known) of each text; see identify."""
+    hashes, text, has = letter_grams(texts)
+    n = np.bincount(text, minlength=len(texts)).astype(float)
+    if not model.langs:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    masks = model.masks(hashes)
+    right = np.zeros((len(texts), len(model.langs)))
+    for i in range(len(model.langs)):
+        bit = (masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
+        hits = np.bincount(text, weights=bit.astype(float), minlength=len(texts))
+        right[:, i] = np.maximum(hits - n * model.wrong[i], 0) / (1 - model.wrong[i])  # of hits so many are real
+    best = right.argmax(1)
+    most, total = right[np.arange(len(best)), best], right.sum(1)
+    score = np.where(has & (total > 0), most / np.maximum(total, 1e-9), 0.0)
+    known = np.where(has, np.minimum(most / np.maximum(n, 1), 1.0), 0.0)
+    return [model.langs[b] if h else UNKNOWN for b, h in zip(best, has)], score, known
+
+
 def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     """Per row of docs: doc_id, held_out, lang_pred, score (0 to 1), known (0 to 1); see identify."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches(stream, 1 << 20):
-            hashes, text, has = letter_grams(batch.column(2).to_pylist())
-            n = np.bincount(text, minlength=batch.num_rows).astype(float)
-            masks = model.masks(hashes)
-            right = np.zeros((batch.num_rows, len(model.langs)))
-            for i in range(len(model.langs)):
-                bit = (masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
-                hits = np.bincount(text, weights=bit.astype(float), minlength=batch.num_rows)
-                right[:, i] = np.maximum(hits - n * model.wrong[i], 0) / (1 - model.wrong[i])  # of hits so many are real
-            if model.langs:
-                best = right.argmax(1)
-                most, total = right[np.arange(len(best)), best], right.sum(1)
-                names = [model.langs[b] if h else UNKNOWN for b, h in zip(best, has)]
-                score = np.where(has & (total > 0), most / np.maximum(total, 1e-9), 0.0)
-                known = np.where(n > 0, np.minimum(most / np.maximum(n, 1), 1.0), 0.0)
-            else:
-                names, score, known = [UNKNOWN] * len(n), np.zeros(len(n)), np.zeros(len(n))
+            names, score, known = _scored(shared.value, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(score), pa.array(known)],
                                              names=["doc_id", "held_out", "lang_pred", "score", "known"])
 
@@ -162,6 +165,20 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, known double")
 
 
+def kept(docs: DataFrame, filters: Filters, least_known: float) -> DataFrame:
+    """The rows of docs whose text is in a learned language that knows a share least_known of its n-grams at least."""
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+    names = [c for c in docs.columns if c != "text"]
+    rows = docs.select(*names, F.col("text").cast("string").alias("text"))
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(stream, 1 << 20):
+            langs, _, known = _scored(shared.value, batch.column(batch.num_columns - 1).to_pylist())
+            yield batch.filter(pa.array([lang != UNKNOWN and k >= least_known for lang, k in zip(langs, known)], pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema).select(docs.columns)
+
+
 def identify(docs: DataFrame, sample: int = 4000, profile: int = 3000) -> DataFrame:
     """Per row of docs: doc_id, held_out, lang_pred, score, known.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, jaccard, langid, mixing, neighbours, packing, token_counts, topk, toxicity
+from ledgerline.llm import chat, jaccard, langid, mixing, neighbours, packing, pii, token_counts, topk, toxicity
 from ledgerline.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,8 @@ def chat_format(table):
     said = "named_struct('conv_id', -7L, 'turn', {}L, 'role', '{}', 'text', '</s>[INST] ok [/INST]')"
     more = rows.sparkSession.sql(f"SELECT inline(array({said.format(0, 'user')}, {said.format(1, 'assistant')}))")
     return chat.digests(rows.unionByName(more))
+
+
+@query("op2_pii_spans")
+def pii_spans(table):
+    return pii.spans(table("documents"))
