@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -19,45 +19,71 @@ from ledgerline.llm.store import written
 DIMS, BITS = 4, 8  # of the curve: keys of 32 bits
 CACHE = 1 << 18  # pieces a Python worker keeps the ids of
 
-_WIDE_SPACE = re.compile(r" \s|\s ")
+#: How the byte-level splitter cuts text: a fixed pattern.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space by any definition a splitter may have.
+_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 _workers: dict[str, "Ids"] = {}
 
 
+def _byte_letters() -> dict[str, int]:
+    """The letter that byte-level vocabularies write for each byte: printable bytes stand for themselves, others follow from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class Ids:
     """Token ids of texts as the library gives them, with a cache of pieces.
 
     A byte-level splitter never joins characters over a single space between two other characters: such a space begins a
-    new piece, whatever stands before it. So a text is the sequence of its pieces at those spaces. Texts that hold
-    white space next to a space, or a special string, are encoded whole.
+    new piece, whatever stands before it. So a text is the sequence of its pieces at those spaces. New pieces are merged by
+    the same vocabulary, whose ids are in the order of their merges, in a library that is faster on short strings; texts that
+    hold white space next to a space, or a special string, are encoded whole by the tokenizer itself.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        letters = _byte_letters()
+        ranks = {bytes(letters[c] for c in token): i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if token not in self.special}
+        self.merger = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)  # bytes of each token
+        self.sizes[list(ranks.values())] = [len(token) for token in ranks]
         self.cache: dict[str, bytes] = {}
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.width).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def separable(self, text: str) -> bool:
+        """Whether all spaces stand between two characters that are no white space, and no special string is in the text."""
+        if not text or text[0].isspace() or text[-1].isspace() or any(s in text for s in self.special):
+            return False
+        return not any(" " + c in text or c + " " in text for c in _SPACES if c in text)
+
+    def merged(self, text: str) -> np.ndarray:
+        return np.array(self.merger.encode_ordinary(text), self.width)
+
+    def pieces(self, new: list[str]) -> dict[str, bytes]:
+        """The ids of each piece with a space before it: all pieces are merged as one text, then cut where pieces end."""
+        ids = self.merged("".join([" " + p for p in new]))
+        ends = np.cumsum([1 + len(p.encode()) for p in new])
+        cuts = (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1) * self.width.itemsize
+        raw, cuts = ids.tobytes(), cuts.tolist()
+        return {p: raw[a:b] for p, a, b in zip(new, [0, *cuts], cuts)}
 
     def of(self, texts: list[str]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        for text in texts:
-            if any(s in text for s in self.special) or _WIDE_SPACE.search(text):
-                split.append(None)
-                continue
-            first, *rest = text.split(" ")
-            split.append([first, *[" " + p for p in rest]])
-        cache, fresh = self.cache, {}
-        new = list({p for own in split if own for p in own if p not in cache})
-        for a in range(0, len(new), 4096):
-            fresh.update(zip(new[a : a + 4096], self.whole(new[a : a + 4096])))
-        odd = iter(self.whole([t for t, own in zip(texts, split) if own is None]))
-        out = [next(odd) if own is None else b"".join([cache[p] if p in cache else fresh[p] for p in own]) for own in split]
-        if len(cache) + len(fresh) > CACHE:
+        split = [t.split(" ") if self.separable(t) else None for t in texts]
+        cache = self.cache
+        missed = {p for own in split if own for p in own[1:] if p not in cache}
+        if len(cache) + len(missed) > CACHE:
             cache.clear()
-        cache.update((p, ids) for p, ids in fresh.items() if len(p) <= 64)
-        return out
+            missed = {p for own in split if own for p in own[1:]}
+        if missed:
+            cache.update(self.pieces(list(missed)))
+        return [
+            np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes() if own is None
+            else self.merged(own[0]).tobytes() + b"".join([cache[p] for p in own[1:]])
+            for text, own in zip(texts, split)
+        ]
 
 
 def worker(path: str) -> Ids:
