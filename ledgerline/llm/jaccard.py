@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.components import components
 from ledgerline.llm.shingles import batches, mixed, shingle_sets
-from ledgerline.llm.store import written
+from ledgerline.llm.store import small, written
 
 #: Buckets of the shingle counts: a fixed size, whatever the corpus.
 BUCKET_BITS = 16
@@ -177,8 +177,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
         """The pairs (a, b), bounded already, that hold on the whole texts."""
         pairs = written(pairs, "pairs")
         nodes = pairs.select("a").unionAll(pairs.select(F.col("b").alias("a"))).distinct()
-        wanted = classes.join(nodes, classes.cid == nodes.a, "left_semi").select("doc_id")
-        found = texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(*_sets(words)).dropDuplicates(["cid"])
+        wanted = written(classes.join(nodes, classes.cid == nodes.a, "left_semi").select("doc_id").distinct(), "wanted")
+        found = texts.join(small(wanted), "doc_id", "left_semi").select("text").mapInArrow(*_sets(words)).dropDuplicates(["cid"])
         found = written(found, "sets")
         both = pairs.join(found.select(F.col("cid").alias("a"), F.col("shingles").alias("x")), "a").join(
             found.select(F.col("cid").alias("b"), F.col("shingles").alias("y")), "b")
@@ -216,7 +216,10 @@ def one_per_group(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -
     """
     found = near_duplicates(docs, words, num, den)
     gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    once = docs.join(gone.unionAll(repeated), "doc_id", "left_anti").select(docs.columns)
-    again = docs.join(repeated.join(gone, "doc_id", "left_anti"), "doc_id", "left_semi").select(docs.columns)
-    return once.unionAll(again.dropDuplicates(["doc_id", "text"]))
+    gone = written(gone, "gone")
+    repeated = written(found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    kept = docs.join(small(gone), "doc_id", "left_anti").select(docs.columns)
+    if repeated.isEmpty():
+        return kept
+    again = kept.join(small(repeated), "doc_id", "left_semi").select(docs.columns)
+    return kept.join(small(repeated), "doc_id", "left_anti").select(docs.columns).unionAll(again.dropDuplicates(["doc_id", "text"]))

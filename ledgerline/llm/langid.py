@@ -114,7 +114,7 @@ def fit(docs: DataFrame, sample: int = 4000, profile: int = 3000) -> Filters:
     part = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)).select(index[F.col("lang")].alias("lang"), "text")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(stream, 1 << 20):
+        for batch in batches(stream, 1 << 18):
             lang = batch.column(0).to_numpy()
             hashes, text, _ = letter_grams(batch.column(1).to_pylist())
             order = np.lexsort((hashes, text))
@@ -156,7 +156,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(stream, 1 << 20):
+        for batch in batches(stream, 1 << 18):
             names, score, known = _scored(shared.value, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(score), pa.array(known)],
                                              names=["doc_id", "held_out", "lang_pred", "score", "known"])
@@ -172,7 +172,7 @@ def kept(docs: DataFrame, filters: Filters, least_known: float) -> DataFrame:
     rows = docs.select(*names, F.col("text").cast("string").alias("text"))
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(stream, 1 << 20):
+        for batch in batches(stream, 1 << 18):
             langs, _, known = _scored(shared.value, batch.column(batch.num_columns - 1).to_pylist())
             yield batch.filter(pa.array([lang != UNKNOWN and k >= least_known for lang, k in zip(langs, known)], pa.bool_()))
 

@@ -17,7 +17,7 @@ from ledgerline.llm.shingles import batches, mixed
 from ledgerline.llm.store import written
 
 DIMS, BITS = 4, 8  # of the curve: keys of 32 bits
-CACHE = 1 << 18  # pieces a Python worker keeps the ids of
+CACHE = 1 << 17  # pieces a Python worker keeps the ids of
 
 #: How the byte-level splitter cuts text: a fixed pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

@@ -31,7 +31,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
         out = np.full(max(n, 1 << 16), base, np.uint64)
         out[:1] = 1
         held = np.cumprod(out, dtype=np.uint64)
-        if n <= 1 << 22:  # else only this batch needs them
+        if n <= 1 << 20:  # else only this batch needs them
             _powers_of[int(base)] = held
     return held[:n]
 
@@ -97,7 +97,7 @@ def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
     return [np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:])]
 
 
-def batches(stream, most: int = 1 << 21):
+def batches(stream, most: int = 1 << 19):
     """The record batches of a stream in slices whose texts (the last column) have some `most` bytes; a longer text is alone."""
     for batch in stream:
         sizes = np.diff(flat_bytes(batch.column(batch.num_columns - 1))[1])

@@ -10,10 +10,16 @@ import zipfile
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Registers the package's source, once per application, with Spark, which hands it to every executor."""
+    """Registers the package's source, once per application, with Spark, which hands it to every executor.
+
+    Also makes batches for Python workers small, unless the session has set their size: whole texts may be long.
+    """
+    if spark.conf.get(_ROWS) == "10000":
+        spark.conf.set(_ROWS, "1000")
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

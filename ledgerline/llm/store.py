@@ -6,6 +6,7 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Where intermediate tables go when the session names no shared folder, as in tests on one machine.
 LOCAL_FOLDER = "/tmp/checkpoints"
@@ -28,3 +29,12 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows of numbers that a broadcast may have; beyond it the join shuffles both sides.
+BROADCAST_ROWS = 1 << 20
+
+
+def small(keys: DataFrame) -> DataFrame:
+    """keys (a written table of a few numbers a row) with a broadcast hint if a count shows that they are few."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys

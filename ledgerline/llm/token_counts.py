@@ -15,7 +15,7 @@ from ledgerline.llm.shingles import batches
 
 #: Entries of the broadcast table and of each worker's cache, whatever the corpus.
 TABLE = 1 << 16
-CACHE = 1 << 18
+CACHE = 1 << 17
 
 _workers: dict[str, tuple[Tokenizer, dict[str, int]]] = {}
 
