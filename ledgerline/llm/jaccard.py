@@ -10,8 +10,8 @@ power of two use both numbers of classes. Very small sets have single shingles o
 
 Only the components of the links are asked for, so that a key with many sets needs no pairs of all of them: each set is
 compared with the smallest and largest set of its keys first; after that only sets of one key that are still in
-different components are paired, behind two exact bounds (sizes; parity sketches, whose distance is at most the size of
-the symmetric difference). All surviving pairs are verified on the whole texts. No list is capped.
+different components are paired, behind exact bounds (sizes; sketches of parities and of counts, whose distance is at most
+the size of the symmetric difference). All surviving pairs are verified on the whole texts. No list is capped.
 
 Shingles and sets are known by 64-bit hashes; among 10^10 different sets about three pairs collide.
 """
@@ -48,6 +48,20 @@ def parity_sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def counters(hashes: np.ndarray) -> bytes:
+    """Shingles by the low bits of their hash, four to eight a counter, however large the set."""
+    size = 1 << max(0, (len(hashes) // 8).bit_length())
+    found = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.minimum(found, 65535).astype("<u2").tobytes()
+
+
+def counter_distance(x: bytes, y: bytes) -> int:
+    """At most the size of the symmetric difference: the larger list of counters is folded to the size of the smaller."""
+    a, b = (np.frombuffer(v, "<u2").astype(np.int64) for v in (x, y))
+    n = min(len(a), len(b))
+    return int(np.abs(a.reshape(-1, n).sum(0) - b.reshape(-1, n).sum(0)).sum())
+
+
 def prefix_keys(hashes: np.ndarray, counts: np.ndarray, limit: float, num: int, den: int) -> np.ndarray:
     """Index keys of one set: single rare shingles and pairs of frequent ones.
 
@@ -85,7 +99,7 @@ def prefix_keys(hashes: np.ndarray, counts: np.ndarray, limit: float, num: int,
 
 
 def _profile(words: int):
-    fields = [("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), *((s, pa.int64()) for s in _S),
+    fields = [("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), *((s, pa.int64()) for s in _S), ("counters", pa.binary()),
               ("bucket", pa.int32()), ("freq", pa.int64())]
     schema = pa.schema(fields)
 
@@ -99,12 +113,12 @@ def _profile(words: int):
             none = pa.nulls(len(sets), pa.int64())
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64()),
-                *(pa.array(sketches[:, i]) for i in range(SKETCH)), none.cast(pa.int32()), none], schema=schema)
+                *(pa.array(sketches[:, i]) for i in range(SKETCH)), pa.array([counters(s) for s in sets], pa.binary()), none.cast(pa.int32()), none], schema=schema)
         held = np.flatnonzero(counts)
         none = pa.nulls(len(held), pa.int64())
-        yield pa.RecordBatch.from_arrays([none] * (3 + SKETCH) + [pa.array(held.astype(np.int32)), pa.array(counts[held])], schema=schema)
+        yield pa.RecordBatch.from_arrays([none] * (3 + SKETCH) + [none.cast(pa.binary()), pa.array(held.astype(np.int32)), pa.array(counts[held])], schema=schema)
 
-    return run, "doc_id long, n long, cid long, " + "".join(f"{s} long, " for s in _S) + "bucket int, freq long"
+    return run, "doc_id long, n long, cid long, " + "".join(f"{s} long, " for s in _S) + "counters binary, bucket int, freq long"
 
 
 def _index(words: int, counts: np.ndarray, limit: float, num: int, den: int):
@@ -143,6 +157,18 @@ def _verified(num: int, den: int):
     return run, "a long, b long"
 
 
+def _possible(num: int, den: int):
+    """Of rows (a, b, nx, ny, counters of a, counters of b) the pairs whose counters allow similarity."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)))
+            keep = [(den + num) * counter_distance(x, y) <= (den - num) * (m + n) for m, n, x, y in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run, "a long, b long"
+
+
 def _near(num: int, den: int) -> Column:
     """Whether sizes and sketches of x and y allow similarity: of nx + ny shingles at most a part can be unshared."""
     unshared = " + ".join(f"bit_count(x.{s} ^ y.{s})" for s in _S)
@@ -161,6 +187,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     profile = written(texts.mapInArrow(*_profile(words)), "profile")
     rows = profile.filter("bucket IS NULL").drop("bucket", "freq")
+    slim = rows.select("doc_id", "n", "cid")
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
     for bucket, n in profile.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("freq")).collect():  # at most 2^16 rows
         counts[bucket] = n
@@ -170,12 +197,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     index = written(known, "index")
     shared = index.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high")
     members = written(index.join(shared, "key").distinct(), "members")
-    classes = sets.groupBy("cid").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ["n", *_S]))
+    classes = sets.groupBy("cid").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ["n", *_S, "counters"]))
     classes = written(classes.join(members.select("cid").distinct(), "cid", "left_semi"), "classes")
 
     def links(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b), bounded already, that hold on the whole texts."""
-        pairs = written(pairs, "pairs")
+        x, y = (classes.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("counters").alias(f"c{c}")) for c in "ab")
+        met = written(pairs, "pairs").join(x, "a").join(y, "b").select("a", "b", "na", "nb", "ca", "cb")
+        pairs = written(met.mapInArrow(*_possible(num, den)), "possible")
         nodes = pairs.select("a").unionAll(pairs.select(F.col("b").alias("a"))).distinct()
         wanted = written(classes.join(nodes, classes.cid == nodes.a, "left_semi").select("doc_id").distinct(), "wanted")
         found = texts.join(small(wanted), "doc_id", "left_semi").select("text").mapInArrow(*_sets(words)).dropDuplicates(["cid"])
@@ -194,13 +223,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     parts = components(first)
     placed = members.join(parts, members.cid == parts.node, "left").select("key", "cid", F.coalesce("root", "cid").alias("part"))
     split = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("key")
-    rest = placed.join(split, "key", "left_semi").join(classes.drop("doc_id"), "cid")
+    rest = placed.join(split, "key", "left_semi").join(classes.drop("doc_id", "counters"), "cid")
     x, y = rest.alias("x"), rest.alias("y")
     apart = x.join(y, F.expr("x.key = y.key AND x.cid < y.cid AND x.part <> y.part") & _near(num, den))
     second = links(apart.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct())
     parts = components(first.unionAll(second))
 
-    named = rows.join(parts, rows.cid == parts.node, "left").select("doc_id", "n", "cid", F.coalesce("root", "cid").alias("part"))
+    named = slim.join(parts, slim.cid == parts.node, "left").select("doc_id", "n", "cid", F.coalesce("root", "cid").alias("part"))
     named = written(named, "named")
     least = named.filter("n > 0").groupBy("part").agg(F.min("doc_id").alias("least"))
     own = named.filter("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
