@@ -116,7 +116,7 @@ def _profile(words: int):
                 *(pa.array(sketches[:, i]) for i in range(SKETCH)), pa.array([counters(s) for s in sets], pa.binary()), none.cast(pa.int32()), none], schema=schema)
         held = np.flatnonzero(counts)
         none = pa.nulls(len(held), pa.int64())
-        yield pa.RecordBatch.from_arrays([none] * (3 + SKETCH) + [none.cast(pa.binary()), pa.array(held.astype(np.int32)), pa.array(counts[held])], schema=schema)
+        yield pa.RecordBatch.from_arrays([none] * (3 + SKETCH) + [pa.nulls(len(held), pa.binary()), pa.array(held.astype(np.int32)), pa.array(counts[held])], schema=schema)
 
     return run, "doc_id long, n long, cid long, " + "".join(f"{s} long, " for s in _S) + "counters binary, bucket int, freq long"
 
