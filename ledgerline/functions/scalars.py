@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import chain, count
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,23 +43,11 @@ def clean_identifier(text: Column) -> Column:
 
 
 def clean_names(names: list[str]) -> list[str]:
-    """Column names as identifiers, made unique: a second `x` becomes `x_2`.
-
-    Unlike a plain counter this never yields a name that another column has.
-    """
-    taken: set[str] = set()
-    result = []
-    for name in names:
-        base = re.sub(r"[^a-z0-9_]+", "_", name.lower())
-        base = re.sub(r"_+", "_", base).strip("_") or "column"
-        if base[0].isdigit():
-            base = f"_{base}"
-        unique, number = base, 1
-        while unique in taken:
-            number += 1
-            unique = f"{base}_{number}"
-        taken.add(unique)
-        result.append(unique)
+    """Column names as clean_identifier makes them, and unique: a repeated one gets the first number from 2 on that no column has."""
+    clean = ["_".join(re.findall("[a-z0-9]+", name.lower())) or "column" for name in names]
+    result: list[str] = []
+    for name in ("_" + c if c[0].isdigit() else c for c in clean):
+        result.append(next(n for n in chain([name], (f"{name}_{i}" for i in count(2))) if n not in result))
     return result
 
 

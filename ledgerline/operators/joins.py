@@ -15,12 +15,16 @@ class DuplicateKeyError(ValueError):
 
 @dataclass(frozen=True)
 class Hop:
-    """One many-to-one step: `child_key` of the rows so far refers to `parent_key` of `parent`."""
+    """One many-to-one step: `child_key` of the rows so far refers to `parent_key` of `parent`.
+
+    sum_first: whether additive measures are summed per foreign key before this join; not worth it for a parent of a few rows.
+    """
 
     parent: DataFrame
     child_key: str
     parent_key: str
     name: str
+    sum_first: bool = True
 
 
 def key_violations(hops: list[Hop]) -> DataFrame:
@@ -67,26 +71,18 @@ def checked_join(events: DataFrame, hops: list[Hop], how: str = "inner", validat
 
 def lookup_or(rows: DataFrame, hop: Hop, found: str, fallbacks: list[Column], alias: str) -> DataFrame:
     """Left lookup of one parent column, or the first fallback that has a value."""
+    require_unique([hop])
     parent = hop.parent.select(F.col(hop.parent_key).alias("_key"), F.col(found).alias("_found"))
     joined = rows.join(parent, F.col(hop.child_key) == F.col("_key"), "left")
     return joined.withColumn(alias, F.coalesce("_found", *fallbacks)).drop("_key", "_found")
 
 
-def within_broadcast(frame: DataFrame) -> bool:
-    """Whether the planner itself would broadcast a frame of this size."""
-    limit = frame.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    plans = frame._jdf.queryExecution()
-    # The size of the tables as they are often settles it without an optimizer run.
-    return any(int(str(plan().stats().sizeInBytes())) <= limit for plan in (plans.analyzed, plans.optimizedPlan))
-
-
 def walk(events: DataFrame, hops: list[Hop], sums: dict[str, Column],
          carry: list[str]) -> tuple[DataFrame, dict[str, Column]]:
     """Follow many-to-one joins with additive measures, keeping the columns `carry` of events and parents.
 
-    A parent of broadcast size is joined row by row, without any shuffle. Before any larger parent the measures are
-    summed per foreign key, so that even a key with a third of all events reaches the join as one row, and every step
-    shuffles fewer rows. Where columns of the events themselves are carried, such sums would hardly shorten anything;
+    Before a hop the measures are summed per foreign key and the keys still needed, unless the hop says otherwise, so that a
+    key with a third of all events reaches the join as few rows, and every step shuffles fewer. Where columns of the events themselves are carried, such sums would hardly shorten anything;
     rows are then joined as they are, and Spark splits hot keys of the join (`adaptive.skewJoin`).
     Returns the rows and the aggregates that finish the sums; the result is the same whichever way is taken.
     """
@@ -99,7 +95,7 @@ def walk(events: DataFrame, hops: list[Hop], sums: dict[str, Column],
             F.col(hop.parent_key).alias("_parent_key"),
             *[c for c in hop.parent.columns if c in later and c not in rows.columns],
         )
-        if additive and not within_broadcast(parent):
+        if additive and hop.sum_first:
             kept = [c for c in rows.columns if c in {*child_keys[i:], *carry}]
             rows = rows.groupBy(*kept).agg(*(total.alias(name) for name, total in sums.items()))
             sums = {name: F.sum(name) for name in sums}

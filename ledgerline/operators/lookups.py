@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.scalars import cents
 from ledgerline.operators.joins import Hop, checked_join
 
-# Limits that apply when none (or 0) is asked for, and the status names.
-LIST_LIMIT = 50
-STREAM_LIMIT = 5000
+# The status names.
 FOUND = "OK"
 NOT_FOUND = "NOT_FOUND"
 
@@ -53,9 +51,10 @@ def ordered(rows: DataFrame, order: list[str], limit: int | None = None) -> Data
 
 def transactions(events: DataFrame, customers: Hop, definitions: Hop | None, order: list[str],
                  customer_id=None, region: str | None = None, region_column: str = "region",
-                 limit: int | None = LIST_LIMIT) -> DataFrame:
-    """Events with their customer and, if any, their definition; filtered, ordered and cut.
+                 limit: int | None = None) -> DataFrame:
+    """Events with their customer and, if any, their definition; filtered, ordered and, if a limit is given, cut.
 
+    The definitions are joined after the cut, once their key is known to be unique.
     A customer filters unless it is None, a region unless it is empty. Both filters reach the scans.
     """
     if customer_id is not None:
@@ -64,9 +63,11 @@ def transactions(events: DataFrame, customers: Hop, definitions: Hop | None, ord
         customers = Hop(customers.parent.filter(F.col(region_column) == region), customers.child_key,
                         customers.parent_key, customers.name)
     joined = checked_join(events, [customers], validate=False)
-    if definitions is not None:
-        joined = checked_join(joined, [definitions], how="left", validate=False)
-    return ordered(joined, order, limit or LIST_LIMIT)
+    if definitions is None:
+        return ordered(joined, order, limit or None)
+    if limit and set(order) <= set(joined.columns):
+        joined = ordered(joined, order, limit)
+    return ordered(checked_join(joined, [definitions], how="left"), order, limit or None)
 
 
 def first_keys(rows: DataFrame, order: list[str], n: int, key: str) -> DataFrame:
@@ -83,14 +84,10 @@ def message_rows(rows: DataFrame, fields: dict[str, tuple[Column, str]]) -> Data
     ])
 
 
-def charges(rows: DataFrame, amount: Column, customer: Column, key: Column) -> DataFrame:
-    """Charge request and result of every row: the amount in cents, identified by an idempotency key."""
-    # Currency, status and provider of every charge.
+def charge_requests(rows: DataFrame, amount: Column, customer: Column, key: Column) -> DataFrame:
+    """What is asked of a payment service for every row: the amount in cents, the customer, an idempotency key."""
     return rows.select(
-        F.concat(F.lit("charge-"), key.cast("string")).alias("charge_id"),
+        F.concat(F.lit("charge-"), key.cast("string")).alias("idempotency_key"),
         cents(amount).alias("amount_cents"),
         customer.cast("string").alias("customer_id"),
-        F.lit("SCORE").alias("currency"),
-        F.lit("succeeded").alias("status"),
-        F.lit("score-proxy").alias("provider"),
     )

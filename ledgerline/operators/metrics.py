@@ -15,8 +15,15 @@ ALL_ROWS = "all-rows"    # it is a transaction worth 0: part of count and mean
 
 
 def minor_units(value: Column, scale: int | None) -> Column:
-    """A value that can be summed without rounding: whole units of 10^-scale, or the double itself without a scale."""
-    return value.cast("double") if scale is None else F.rint(value * 10**scale).cast("bigint")
+    """A value that can be summed without rounding: a decimal of `scale` digits, or the double itself without a scale.
+
+    A value with more digits than that is refused. Sums of decimals are ten digits wider, so they hold beyond 64 bits.
+    """
+    if scale is None:
+        return value.cast("double")
+    exact = value.cast(f"decimal(18,{scale})")
+    more = F.concat(F.lit(f"more than {scale} decimals: "), value.cast("string"))
+    return F.when(exact.cast("double") != value.cast("double"), F.raise_error(more).cast(f"decimal(18,{scale})")).otherwise(exact)
 
 
 def partial_sums(metric: Column, scale: int | None) -> dict[str, Column]:
@@ -30,7 +37,7 @@ def partial_sums(metric: Column, scale: int | None) -> dict[str, Column]:
 
 def finish(parts: DataFrame, key: str, definition: str, scale: int | None) -> DataFrame:
     """(key, txn_count, score_total, score_mean) from the additive parts."""
-    total = F.coalesce(F.col("_total").cast("double") / 10 ** (scale or 0), F.lit(0.0))
+    total = F.coalesce(F.col("_total").cast("double"), F.lit(0.0))
     count = F.col("_rows" if definition == ALL_ROWS else "_values")
     mean = F.when(count > 0, total / count)
     if definition == NON_NULL:
@@ -96,7 +103,7 @@ def top_groups(result: DataFrame, key: str, n: int, total: str = "score_total")
 
 def table_summary(rows: DataFrame, value: str, scale: int | None = None) -> DataFrame:
     """Row count and total of a whole table."""
-    total = F.sum(minor_units(F.col(value), scale)).cast("double") / 10 ** (scale or 0)
+    total = F.sum(minor_units(F.col(value), scale)).cast("double")
     return rows.agg(F.count(F.lit(1)).alias("events"), F.coalesce(total, F.lit(0.0)).alias("revenue_total"))
 
 
@@ -109,5 +116,5 @@ def mechanism_breakdown(events: DataFrame, hops: list[Hop], metric: str, submitt
     sums = {"events": F.count(F.lit(1)), "_total": F.sum(minor_units(F.col(metric), scale))}
     rows, sums = walk(events, hops, sums, [metric, submitted, ended])
     label = mechanism(F.col(metric), F.col(submitted), F.col(ended)).alias("mechanism")
-    total = F.coalesce(sums["_total"].cast("double") / 10 ** (scale or 0), F.lit(0.0))
+    total = F.coalesce(sums["_total"].cast("double"), F.lit(0.0))
     return rows.groupBy(label).agg(sums["events"].alias("events"), total.alias("revenue_proxy"))

@@ -88,16 +88,17 @@ def prep_report(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
                          names(False).alias("stable"))
 
 
-def numbered(rows: DataFrame, key: str, order: str, rows_per_slice: int = 2_000_000) -> DataFrame:
-    """Number the rows of every key from 1 in the order of a unique whole-number column, in the new column `number`.
+def numbered(rows: DataFrame, key: str, order: str, slices: int = 64) -> DataFrame:
+    """Number the rows of every key from 1 in the order of a unique column, nulls last, in the new column `number`.
 
-    One window per key would gather a hot key in one task. Rows are numbered within (key, range of the order) instead
-    and moved up by the rows of the earlier ranges, which a window over the few range counts yields.
+    One window per key would gather a hot key in one task. Rows are numbered within (key, slice of the order) instead
+    and moved up by the rows of the earlier slices, which a window over the few slice counts yields. Slices end at
+    measured quantiles, so that gaps in the order leave them even; rows without order are a slice of their own.
     """
-    first, last, total = rows.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
-    slices = max(1, -(-total // rows_per_slice))
-    width = max(1, -(-((last or 0) - (first or 0) + 1) // slices))
-    sliced = rows.withColumn("_slice", F.floor((F.col(order) - F.lit(first or 0)) / F.lit(width)))
+    shares = [i / slices for i in range(1, slices)]
+    ends = rows.agg(F.percentile_approx(order, shares, 10_000)).first()[0] or []
+    at = sum([F.when(F.col(order) > F.lit(end), 1).otherwise(0) for end in sorted(set(ends))], F.lit(0))
+    sliced = rows.withColumn("_slice", F.when(F.col(order).isNull(), slices).otherwise(at))
     counts = sliced.groupBy(key, "_slice").count()
     before = W.partitionBy(key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(F.col(key).alias("_key"), F.col("_slice").alias("_at"),
@@ -108,9 +109,9 @@ def numbered(rows: DataFrame, key: str, order: str, rows_per_slice: int = 2_000_
         "_slice", "_local", "_key", "_at", "_before")
 
 
-def unique_texts(rows: DataFrame, text: str, order: str, rows_per_slice: int = 2_000_000) -> DataFrame:
+def unique_texts(rows: DataFrame, text: str, order: str, slices: int = 64) -> DataFrame:
     """Texts made unique as data: the second `x` becomes `x_2`, in the new column `unique_text`."""
     n = F.col("number").cast("string")
-    return numbered(rows, text, order, rows_per_slice).withColumn(
+    return numbered(rows, text, order, slices).withColumn(
         "unique_text", F.when(F.col("number") == 1, F.col(text)).otherwise(F.concat_ws("_", F.col(text), n))
     ).drop("number")

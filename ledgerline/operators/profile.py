@@ -41,8 +41,9 @@ def _comparable(name: str, data_type: T.DataType) -> Column:
         return value.cast("double")
     text = value if isinstance(data_type, T.StringType) else (
         F.to_json(value) if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)) else value.cast("string"))
-    # Long texts are shuffled as their SHA-256 digest.
-    return F.when(F.length(text) <= _LONG_TEXT, text).otherwise(F.sha2(text, 256))
+    # Long texts are shuffled as their SHA-256 digest, under a mark that makes it longer than any text kept as it is.
+    digest = F.concat(F.lit("#" * _LONG_TEXT), F.sha2(text, 256))
+    return F.when(F.length(text) <= _LONG_TEXT, text).otherwise(digest)
 
 
 @dataclass(frozen=True)

@@ -75,7 +75,8 @@ def reconcile(current: DataFrame, others: dict[str, DataFrame], key: str, tolera
 
     Every result has `key`, `txn_count` and `score_total`. One without rows counts as absent and is not compared.
     """
-    wide = union_of_keys({"current": current, **others}, key, [COUNT, "score_total"])
+    marked = {name: r.withColumn("_there", F.lit(1)) for name, r in {"current": current, **others}.items()}
+    wide = union_of_keys(marked, key, [COUNT, "score_total", "_there"])
     sides = []
     for name in others:
         row = wide.agg(
@@ -84,6 +85,7 @@ def reconcile(current: DataFrame, others: dict[str, DataFrame], key: str, tolera
             F.sum(f"txn_count_{name}").alias("txn_count_other"),
             F.sum("score_total_current").alias("score_total_current"),
             F.sum(f"score_total_{name}").alias("score_total_other"),
+            F.max(f"_there_{name}").alias("_there"),
             F.max(F.abs(F.col("score_total_current") - F.col(f"score_total_{name}"))).alias("max_group_difference"),
         )
         sides.append(row)
@@ -93,8 +95,8 @@ def reconcile(current: DataFrame, others: dict[str, DataFrame], key: str, tolera
     return union(sides).withColumns({
         "count_difference": count_gap,
         "total_difference": total_gap,
-        "passed": F.when(F.col("txn_count_other") == 0, None).otherwise(passed),
-    })
+        "passed": F.when(F.col("_there") == 1, passed),
+    }).drop("_there")
 
 
 def join_report(events: DataFrame, hops: list[Hop]) -> DataFrame:

@@ -194,12 +194,12 @@ def listed(spark, root, **options):
                                 region_column="c_mktsegment", **options).select(*LISTED)
 
 
-@query("w3_transactions", f"{LIST_SQL} {ORDER_SQL} LIMIT 50")
+@query("w3_transactions", f"{LIST_SQL} {ORDER_SQL}")
 def w3(spark, root):
     return listed(spark, root, region="", limit=0)
 
 
-@query("w3_of_customer", f"{LIST_SQL} WHERE o_custkey = 37 {ORDER_SQL} LIMIT 50")
+@query("w3_of_customer", f"{LIST_SQL} WHERE o_custkey = 37 {ORDER_SQL}")
 def w3_customer(spark, root):
     return listed(spark, root, customer_id=37)
 
@@ -209,6 +209,12 @@ def w3_segment(spark, root):
     return listed(spark, root, region="MACHINERY", limit=200)
 
 
+@query("w3_of_customer_and_segment", f"{LIST_SQL} WHERE o_custkey = 37 AND c_mktsegment = (SELECT c_mktsegment FROM customer WHERE c_custkey = 37) {ORDER_SQL}")
+def w3_customer_segment(spark, root):
+    segment = table(spark, root, "customer").filter("c_custkey = 37").first().c_mktsegment
+    return listed(spark, root, customer_id=37, region=segment)
+
+
 @query("w4_first_keys_batch", f"""SELECT c_custkey, c_name, c_mktsegment, 'OK' AS status FROM customer
   WHERE c_custkey IN (SELECT o_custkey FROM (SELECT * FROM orders {ORDER_SQL} LIMIT 50))""")
 def w4(spark, root):
@@ -238,6 +244,15 @@ def w5(spark, root):
     return transaction_messages(spark, root)
 
 
+@query("w5_customer_messages", """SELECT c_custkey AS id_student, coalesce(n_name, '') AS region,
+  coalesce(c_mktsegment, '') AS highest_education FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey""")
+def w5_customers(spark, root):
+    nations = to_nation(spark, root)[2]
+    rows = checked_join(table(spark, root, "customer"), [nations], how="left")
+    return lookups.message_rows(rows, {"id_student": (F.col("c_custkey"), "bigint"), "region": (F.col("n_name"), "string"),
+                                       "highest_education": (F.col("c_mktsegment"), "string")})
+
+
 @query("w5_entitlement_messages", """SELECT o_custkey AS id_student,
   CAST(coalesce(datediff('day', DATE '1970-01-01', min(o_orderdate::DATE)), 0) AS DOUBLE) AS date_registration,
   CAST(coalesce(datediff('day', DATE '1970-01-01', max(o_orderdate::DATE) FILTER (WHERE o_orderstatus = 'F'
@@ -250,11 +265,10 @@ def w5_entitlements(spark, root):
         "date_unregistration": (F.col("ends"), "double")})
 
 
-@query("w6_charges", f"""SELECT 'charge-' || l_orderkey AS charge_id,
-  CAST(floor(coalesce(score, 0) * 100) AS BIGINT) AS amount_cents, CAST(l_partkey AS VARCHAR) AS customer_id,
-  'SCORE' AS currency, 'succeeded' AS status, 'score-proxy' AS provider FROM {LINES_SQL}""")
+@query("w6_charge_requests", f"""SELECT 'charge-' || l_orderkey AS idempotency_key,
+  CAST(floor(coalesce(score, 0) * 100) AS BIGINT) AS amount_cents, CAST(l_partkey AS VARCHAR) AS customer_id FROM {LINES_SQL}""")
 def w6(spark, root):
-    return lookups.charges(lines(spark, root), F.col("score"), F.col("l_partkey"), F.col("l_orderkey"))
+    return lookups.charge_requests(lines(spark, root), F.col("score"), F.col("l_partkey"), F.col("l_orderkey"))
 
 
 @query("t1_ordered_limit", f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders {ORDER_SQL} LIMIT 100")

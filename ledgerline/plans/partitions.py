@@ -28,7 +28,7 @@ def candidates(spark, root):
 
 
 def source_of(column: str) -> str:
-    return next((t for t in TABLE_NAMES if column in COLUMNS[t]), "derived in join")
+    return next((t for t in TABLE_NAMES if column in COLUMNS[t]), "computed")
 
 
 CANDIDATES_SQL = f"""WITH joined AS MATERIALIZED (SELECT * FROM {STAR_SQL} JOIN part ON p_partkey = l_partkey),
@@ -38,14 +38,11 @@ CANDIDATES_SQL = f"""WITH joined AS MATERIALIZED (SELECT * FROM {STAR_SQL} JOIN
   stats AS (SELECT column_name, source, count(*) AS distinct_count, min(n) AS min_count,
     CAST(floor(median(n)) AS BIGINT) AS median_count, max(n) AS max_count,
     CAST(printf('%.2f', max(n) / min(n)) AS DOUBLE) AS skew_ratio FROM counts GROUP BY column_name, source),
-  hard AS (SELECT *, concat_ws('; ',
-    CASE WHEN column_name IN ({", ".join(f"'{c}'" for c in NEVER)})
-      THEN 'identifier or measure, not a grouping attribute' END,
-    CASE WHEN distinct_count < 2 THEN 'only ' || distinct_count || ' distinct value' END,
-    CASE WHEN distinct_count > 0.5 * (SELECT count(*) FROM joined)
-      THEN format('{{:,}}', distinct_count) || ' distinct values is near-unique' END) AS reasons FROM stats),
-  judged AS (SELECT * EXCLUDE (reasons), CASE WHEN reasons = '' AND skew_ratio = 1
-    THEN 'perfectly uniform - no skew to analyse' ELSE reasons END AS rejected_because FROM hard)
+  hard AS (SELECT *, concat_ws(',',
+    CASE WHEN column_name IN ({", ".join(f"'{c}'" for c in NEVER)}) THEN 'identifier' END,
+    CASE WHEN distinct_count < 2 THEN 'constant' END,
+    CASE WHEN distinct_count > 0.5 * (SELECT count(*) FROM joined) THEN 'near_unique' END) AS reasons FROM stats),
+  judged AS (SELECT * EXCLUDE (reasons), CASE WHEN reasons = '' AND skew_ratio = 1 THEN 'uniform' ELSE reasons END AS rejected_because FROM hard)
   SELECT *, rejected_because = '' AS viable FROM judged"""
 
 
@@ -56,27 +53,21 @@ def k1(spark, root):
 
 @query("k2_owning_sources", f"SELECT column_name, source FROM ({CANDIDATES_SQL})")
 def k2(spark, root):
-    return candidates(spark, root).select("column_name", "source")
+    # Names are metadata: no row is read for them. Only columns that have a value are candidates.
+    names = p.column_origins(spark, JOINED_COLUMNS, COLUMNS)
+    return names.filter(F.lit(not lines(spark, root).isEmpty()))
 
 
-@query("k3_key_survival", f"""SELECT 'n_name' AS key, true AS present_after_join, 'nation' AS entered_from,
-  count(*) FILTER (WHERE n_name IS NULL) AS nulls_after_join, count(*) FILTER (WHERE n_name IS NULL) = 0 AS survives
+@query("k3_key_survival", f"""SELECT 'n_name' AS key, 'nation' AS origin, true AS in_join,
+  count(*) FILTER (WHERE n_name IS NULL) AS missing, count(*) FILTER (WHERE n_name IS NULL) = 0 AS complete
   FROM {STAR_SQL}""")
 def k3(spark, root):
     joined = checked_join(lines(spark, root), to_nation(spark, root), validate=False)
     return p.key_survival(joined, "n_name", COLUMNS)
 
 
-@query("k3_missing_key", """SELECT 's_name' AS key, false AS present_after_join, 'derived in join' AS entered_from,
-  CAST(NULL AS VARCHAR) AS nulls_after_join, false AS survives""")
-def k3_missing(spark, root):
-    # As text, since whole numbers with nulls have no common form in data frames.
-    found = p.key_survival(lines(spark, root), "s_name", COLUMNS)
-    return found.withColumn("nulls_after_join", F.col("nulls_after_join").cast("string"))
-
-
-@query("k3_key_with_nulls", f"""SELECT 'score' AS key, true AS present_after_join, 'derived in join' AS entered_from,
-  count(*) FILTER (WHERE score IS NULL) AS nulls_after_join, false AS survives FROM {LINES_SQL}""")
+@query("k3_key_with_nulls", f"""SELECT 'score' AS key, 'computed' AS origin, true AS in_join,
+  count(*) FILTER (WHERE score IS NULL) AS missing, false AS complete FROM {LINES_SQL}""")
 def k3_nulls(spark, root):
     return p.key_survival(lines(spark, root), "score", COLUMNS)
 

@@ -111,12 +111,6 @@ def f1(spark, root):
     return profile.table_profile(with_roles(spark, root))
 
 
-# File sizes are not visible in SQL.
-@query("f1_table_bytes")
-def f1_bytes(spark, root):
-    return profile.union([catalog(root).sizes(spark, name) for name in PROFILED])
-
-
 def column_sql(t: str, c: str) -> str:
     return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, "
             f"count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count, "

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgerline.operators.joins import Hop
-from ledgerline.operators.lookups import STREAM_LIMIT, ordered
+from ledgerline.operators.lookups import ordered
 from ledgerline.operators.metrics import ALL_ROWS, group_metric, service_names
 from ledgerline.plans.metrics import SERVICE, keyed_sql
 from ledgerline.plans.registry import query
@@ -25,10 +25,10 @@ def streamed_lines(spark, root):
 
 
 @query("z1_ordered_stream", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-  ORDER BY o_orderdate, o_custkey, o_orderkey LIMIT 5000""")
+  ORDER BY o_orderdate, o_custkey, o_orderkey""")
 def z1(spark, root):
-    first = ordered(table(spark, root, "orders"), ["o_orderdate", "o_custkey", "o_orderkey"], STREAM_LIMIT)
-    return first.select("o_orderkey", "o_custkey", "o_totalprice")
+    rows = ordered(table(spark, root, "orders"), ["o_orderdate", "o_custkey", "o_orderkey"])
+    return rows.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @query("z2_region_stream", keyed_sql("r_name", ALL_ROWS, names=SERVICE))

@@ -55,12 +55,12 @@ def to_customer(spark: SparkSession, root: str) -> list[Hop]:
 
 
 def to_nation(spark: SparkSession, root: str) -> list[Hop]:
-    return to_customer(spark, root) + [Hop(table(spark, root, "nation"), "c_nationkey", "n_nationkey", "nation")]
+    return to_customer(spark, root) + [Hop(table(spark, root, "nation"), "c_nationkey", "n_nationkey", "nation", sum_first=False)]
 
 
 def to_region(spark: SparkSession, root: str) -> list[Hop]:
     """The many-to-one path from an event to its region."""
-    return to_nation(spark, root) + [Hop(table(spark, root, "region"), "n_regionkey", "r_regionkey", "region")]
+    return to_nation(spark, root) + [Hop(table(spark, root, "region"), "n_regionkey", "r_regionkey", "region", sum_first=False)]
 
 
 def all_parents(spark: SparkSession, root: str) -> list[Hop]:

@@ -87,7 +87,11 @@ def load_table(spark: SparkSession, csv_path: str, table: str, table_path: str |
     """
     rows = read_text_columns(spark, csv_path)
     types = {r.column_name: r.inferred_type for r in infer_types(rows).collect()}
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    # Written under another name first: a failed write leaves the old table as it is.
+    fresh = f"{table}_loading"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
     writer = conform(rows, types).write.mode("overwrite").format("parquet")
-    (writer.option("path", table_path) if table_path else writer).saveAsTable(table)
+    (writer.option("path", table_path) if table_path else writer).saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
     return spark.table(table).count()

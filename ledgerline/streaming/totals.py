@@ -18,6 +18,7 @@ def stream_files(spark: SparkSession, path: str, schema: str, format: str = "par
     """The files below a path (a folder, one file, or a pattern), as a stream."""
     if not set(path) & set("*?[{"):
         # A plain path would be taken as the root of partition folders, which a single file cannot be.
+        path = path.rstrip("/")
         path = f"{path[:-1]}[{path[-1]}]"
     reader = spark.readStream.schema(schema)
     if files_per_batch:
@@ -54,7 +55,7 @@ def running_totals(events: DataFrame, key: str, metric: str, scale: int | None =
 
     Spark aggregates within every task before the shuffle, so a hot key adds one row per task and batch.
     """
-    total = F.sum(minor_units(F.col(metric), scale)).cast("double") / 10 ** (scale or 0)
+    total = F.sum(minor_units(F.col(metric), scale)).cast("double")
     return events.filter(F.col(key).isNotNull()).groupBy(key).agg(
         F.count(metric).alias("txn_count"), F.coalesce(total, F.lit(0.0)).alias("score_total"))
 
@@ -87,6 +88,8 @@ def increments(events: DataFrame, hops: list[Hop], key: str, metric: str, target
 
     def write_batch(batch_events: DataFrame, batch: int) -> None:
         parts = roll_up(batch_events, hops, [key], partial_sums(F.col(metric), scale))
+        if scale is not None:  # as totals_of reads it, however many hops have widened it
+            parts = parts.withColumn("_total", F.col("_total").cast(f"decimal(38,{scale})"))
         parts.write.mode("overwrite").parquet(f"{target}/batch={batch}")
 
     run_available(events, checkpoint, "append", write_batch)
@@ -95,7 +98,7 @@ def increments(events: DataFrame, hops: list[Hop], key: str, metric: str, target
 def totals_of(spark: SparkSession, target: str, key: str, scale: int | None = None,
               definition: str = NON_NULL) -> DataFrame:
     """The totals so far: the sum of all stored increments."""
-    kind = "double" if scale is None else "bigint"
+    kind = "double" if scale is None else f"decimal(38,{scale})"
     stored = stored_batches(spark, target, f"{key} string, _rows bigint, _values bigint, _total {kind}")
     merged = stored.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("_rows", "_values", "_total")])
     return finish(merged, key, definition, scale)

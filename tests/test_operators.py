@@ -141,10 +141,10 @@ def test_candidate_keys(spark):
                                    F.lit(None).cast("string").alias("nothing"))
     counted = profile.value_counts([profile.Columns(rows, rows.columns, {})])
     found = {r.column_name: r for r in partitioning.score_candidates(counted, {"rows": rows.columns}, []).collect()}
-    assert found["id"].rejected_because == "100 distinct values is near-unique"
-    assert found["same"].rejected_because == "only 1 distinct value"
-    assert found["even"].rejected_because == "perfectly uniform - no skew to analyse"
-    assert found["nothing"].rejected_because == "only 0 distinct value" and found["nothing"].skew_ratio == 0
+    assert found["id"].rejected_because == "near_unique"
+    assert found["same"].rejected_because == "constant"
+    assert found["even"].rejected_because == "uniform"
+    assert found["nothing"].rejected_because == "constant" and found["nothing"].skew_ratio == 0
     assert found["uneven"].viable and found["uneven"].skew_ratio == 9.0
 
 
@@ -173,7 +173,7 @@ def test_first_per_key_puts_missing_values_last(spark):
 
 def test_numbering_splits_hot_keys(spark):
     rows = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("k"))
-    found = prepare.numbered(rows, "k", "id", rows_per_slice=150).collect()
+    found = prepare.numbered(rows, "k", "id", slices=7).collect()
     hot = sorted((r.id, r.number) for r in found if r.k == -1)
     assert [n for _, n in hot] == list(range(1, len(hot) + 1))
     assert all(r.number == 1 for r in found if r.k != -1) and len(found) == 1000
@@ -333,5 +333,62 @@ def test_a_hot_key_reaches_the_join_as_one_row(spark):
 
 def test_owners():
     tables = {"a": ["x", "y"], "b": ["x"]}
-    assert partitioning.owners("x", tables) == "a + b"
-    assert partitioning.owners("z", tables) == "derived in join"
+    assert partitioning.origin("x", tables) == "a,b"
+    assert partitioning.origin("z", tables) == "computed"
+
+
+def test_missing_column_does_not_survive(spark):
+    found = partitioning.key_survival(spark.range(3), "gone", {"a": ["id"]}).first()
+    assert (found.in_join, found.missing, found.complete, found.origin) == (False, None, False, "computed")
+
+
+def test_numbering_keeps_rows_without_order(spark):
+    rows = spark.createDataFrame([("a", 5), ("a", None), ("a", 10**18), ("b", 1)], "k string, o long")
+    found = prepare.numbered(rows, "k", "o").collect()
+    assert sorted((r.k, r.o or -1, r.number) for r in found) == [("a", -1, 3), ("a", 5, 1), ("a", 10**18, 2), ("b", 1, 1)]
+
+
+def test_more_decimals_than_the_scale_are_refused(spark):
+    rows = spark.createDataFrame([("a", 0.4), ("a", 0.4)], "k string, v double")
+    with pytest.raises(Exception, match="more than 0 decimals"):
+        metrics.group_metric(rows, "k", "v", scale=0).collect()
+    assert metrics.group_metric(rows, "k", "v", scale=1).first().score_total == 0.8
+
+
+def test_totals_beyond_64_bits(spark):
+    rows = spark.range(40).select(F.lit("a").alias("k"), F.lit(9e15).alias("v"))
+    assert metrics.group_metric(rows, "k", "v", scale=2).first().score_total == 3.6e17
+    many = spark.range(200).select(F.lit("a").alias("k"), F.lit(9e15).alias("v"))
+    assert metrics.group_metric(many, "k", "v", scale=2).first().score_total == 1.8e18
+
+
+def test_long_text_and_its_digest_are_two_values(spark):
+    import hashlib
+
+    text = "x" * 500
+    rows = spark.createDataFrame([(text,), (hashlib.sha256(text.encode()).hexdigest(),)], "t string")
+    seen = rows.select(profile._comparable("t", rows.schema["t"].dataType).alias("v")).distinct().count()
+    assert seen == 2
+
+
+def test_lists_are_whole_without_a_limit(spark):
+    events = spark.range(200).select("id", (F.col("id") % 2).alias("c"))
+    customers = Hop(spark.range(2).select(F.col("id").alias("ck")), "c", "ck", "customers")
+    assert lookups.transactions(events, customers, None, ["id"]).count() == 200
+    assert lookups.transactions(events, customers, None, ["id"], limit=0).count() == 200
+    assert lookups.transactions(events, customers, None, ["id"], limit=7).count() == 7
+
+
+def test_lookup_refuses_repeated_parents(spark):
+    parent = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    rows = spark.createDataFrame([(1,)], "c int")
+    with pytest.raises(DuplicateKeyError):
+        lookup_or(rows, Hop(parent, "c", "k", "parent"), "v", [F.lit("")], "v2")
+
+
+def test_result_of_zero_counts_is_present(spark):
+    schema = "k string, txn_count long, score_total double"
+    current = spark.createDataFrame([("a", 1, 2.0)], schema)
+    zero, absent = spark.createDataFrame([("a", 0, 0.0)], schema), spark.createDataFrame([], schema)
+    found = {r.source: r.passed for r in validate.reconcile(current, {"zero": zero, "absent": absent}, "k").collect()}
+    assert found == {"zero": False, "absent": None}

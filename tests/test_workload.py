@@ -76,7 +76,7 @@ def test_workload(spark, student_files, tmp_path):
 
     candidates = {r.column_name: r for r in work.candidates().collect()}
     assert len(candidates) == 15
-    assert candidates["id_student"].source == "assessments + customers + entitlements"
+    assert candidates["id_student"].source == "assessments,customers,entitlements"
     assert candidates["imd_band"].distinct_count == 1
     wales = [e for e in events if region_of[e[1]] == "Wales"]
     listed = work.transactions(region="Wales", limit=20).collect()
