@@ -1,0 +1,191 @@
+"""Every operator on small tables: nulls, empty tables, ties, repeated rows, columns of clashing names; and against brute force."""
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from ledgerline.llm import chat, jaccard, langid, mixing, neighbours, packing, pii, token_counts, topk, toxicity
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, cid string, n string, row string"
+WORDS = "the quick brown fox jumps over a lazy dog while nine small birds sing about rain in spring and autumn leaves".split()
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    long_text = " ".join(WORDS[(i * 7) % len(WORDS)] + str(i % 97) for i in range(6000))
+    texts = [(0, "Hello there, mail a.b@c.de now"), (1, "Hello there, mail a.b@c.de now"), (1, "Hello there, mail a.b@c.de now"),
+             (2, None), (3, ""), (None, "no id here"), (4, " \n\t "), (5, "12 34 !!"), (6, long_text), (7, long_text + " end"), (8, "4111 1111 1111 1111")]
+    return spark.createDataFrame([(i, t, None if i == 4 else "en", None if i == 5 else "s", len(t or ""), "x", "y", "z", "w") for i, t in texts], DOCS)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def test_near_duplicates(odd, empty):
+    found = sorted((r.doc_id if r.doc_id is not None else -1, r.component_id, r.n_shingles > 0) for r in jaccard.near_duplicates(odd).collect())
+    assert found == [(-1, None, True), (0, 0, True), (1, 0, True), (1, 0, True), (2, 2, False), (3, 3, False), (4, 4, False), (5, 5, True), (6, 6, True), (7, 6, True), (8, 8, True)]
+    assert jaccard.near_duplicates(empty).count() == 0
+    kept = jaccard.one_per_group(odd)
+    assert kept.columns == odd.columns and sorted(r.doc_id or -1 for r in kept.collect()) == [-1, -1, 2, 3, 4, 5, 6, 8]
+
+
+def test_links_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    base = [list(rng.choice(WORDS, 60)) for _ in range(6)]
+    rows = []
+    for i in range(120):
+        words = list(base[i % 6])
+        for at in rng.integers(0, 60, rng.integers(0, 4)):
+            words[at] = f"w{rng.integers(0, 50)}"
+        rows.append((i, " ".join(words)))
+    for n, num, den in ((3, 9, 10), (5, 4, 5)):
+        sets = {i: {tuple(w[j : j + n]) for j in range(len(w) - n + 1)} for i, w in ((i, t.split()) for i, t in rows)}
+        root = {i: i for i in sets}
+
+        def find(x):
+            return x if root[x] == x else find(root[x])
+
+        for i in sets:
+            for j in range(i):
+                both = len(sets[i] & sets[j])
+                if den * both >= num * (len(sets[i]) + len(sets[j]) - both):
+                    a, b = sorted((find(i), find(j)))
+                    root[b] = a
+        found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n, num, den).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+VECTORS = [(0, [1.0, 0.0]), (50, [0.5, 0.5]), (50, [0.5, 0.5]), (100, None), (150, [1.0, None]), (200, [float("nan"), 1.0]),
+           (None, [1.0, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, []), (5, [1.0])]
+
+
+def test_vector_searches(spark):
+    table = spark.createDataFrame([(i, v, "x", "y") for i, v in VECTORS], "vec_id long, embedding array<float>, block string, id string")
+    found = [(r.query_id, r.rank, r.vec_id, r.score) for r in topk.search(table, 3, 50, 1).orderBy("query_id", "rank").collect()]
+    assert found == [(0, 1, 1, 65536), (0, 2, 2, 65536), (0, 3, 50, 32768), (50, 1, 0, 32768), (50, 2, 1, 32768), (50, 3, 2, 32768)]
+    near = [(r.query_id, r.vec_id, r.score) for r in neighbours.search(table, 20, 50).orderBy("query_id", "rank").collect()]
+    assert near == [(0, 1, 1.0), (0, 2, 1.0), (0, 50, 0.5), (50, 0, 0.5), (50, 1, 0.5), (50, 2, 0.5)]
+    none = table.limit(0)
+    assert topk.search(none, 3, 50, 1).count() == 0 and neighbours.search(none, 3, 50).count() == 0
+
+
+def test_vector_searches_against_brute_force(spark):
+    rng = np.random.default_rng(2)
+    x = (rng.normal(size=(3000, 12)) * rng.exponential(size=(3000, 1))).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    whole, exact = np.floor(256 * x.astype(float)), x.astype(float) @ x.T.astype(float)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.search(table, 5, 50, 4).collect()}
+    for q in range(0, 3000, 50):
+        s = whole @ whole[q]
+        best = sorted((-int(s[i]), i) for i in range(3000) if i != q)[:5]
+        assert [got[q, k + 1] for k in range(5)] == [(i, -v) for v, i in best]
+    hits = {}
+    for r in neighbours.search(table, 20, 20).collect():
+        hits.setdefault(r.query_id, set()).add(r.vec_id)
+    share = [len(hits[q] & set(sorted((i for i in range(3000) if i != q), key=lambda i: (-exact[q, i], i))[:20])) / 20 for q in range(0, 3000, 20)]
+    assert np.mean(share) >= 0.9
+
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def plain_spans(text):
+    def luhn(d):
+        return sum(int(c) * (1 + i % 2) - 9 * (int(c) * (1 + i % 2) > 9) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    digits = lambda m: re.sub("[^0-9]", "", m)
+    good = {"email": lambda m: True, "ip": lambda m: all(int(p) <= 255 for p in m.split(".")),
+            "card": lambda m: 13 <= len(digits(m)) <= 19 and luhn(digits(m)), "phone": lambda m: 9 <= len(digits(m)) <= 15}
+    return [f"{k}:{m.start()}:{m.end()}" for k, p in PLAIN.items() for m in re.finditer(p, text) if good[k](m[0])]
+
+
+def test_pii_spans_equal_plain_patterns(spark, odd, empty):
+    rng = np.random.default_rng(8)
+    texts = ["a.b-c@d.e_f@g.h.i@j.k", "1.2.3.4.5.6.7.8.9", "256.1.1.1 1.1.1.000255", "4111-1111-1111-1111 5", "++1 234 567 890 1", "1" * 5000, "a" * 9000, "a@" + "b." * 2000 + "c"]
+    texts += ["".join(rng.choice(list("a1.@+- 59()é🙂"), 60)) for _ in range(200)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.spans(rows).collect():
+        assert r.base_sha256 == hashlib.sha256(",".join(plain_spans(texts[r.doc_id])).encode()).hexdigest()
+    assert pii.spans(odd).count() == odd.count() and pii.spans(empty).count() == 0
+    masked = {r.doc_id: r for r in pii.masked(odd).collect()}
+    assert masked[0].text == "Hello there, mail <EMAIL> now" and masked[0].n_chars == 29 and masked[2].text is None and masked[8].text == "<CARD>"
+
+
+def test_secrets_are_found_by_votes(spark):
+    rng = np.random.default_rng(4)
+    hexes = ["".join(rng.choice(list("0123456789abcdef"), 40)) for _ in range(30)]
+    rows = [(i, f'some words token = "{h}" and incomprehensibilities there') for i, h in enumerate(hexes)]
+    rows += [(100 + i, "plain words internationalization uncharacteristically only") for i in range(100)]
+    found = {r.doc_id: r.spans for r in pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[i] == "secret:20:60" for i in range(30)) and not any(found[100 + i] for i in range(100))
+
+
+def test_language_mixing_toxicity_on_odd_rows(spark, odd, empty):
+    found = {r.doc_id: r for r in langid.identify(odd).collect()}
+    assert found[0].lang_pred == "en" and all(found[i].lang_pred == "und" and found[i].score == 0 for i in (2, 3, 4, 5))
+    assert langid.identify(empty).count() == 0
+    labels = spark.createDataFrame([(0, 1), (None, 1), (1, None)], "doc_id long, toxic int")
+    assert toxicity.severity(odd, labels).count() == odd.count() and toxicity.severity(empty, labels.limit(0)).count() == 0
+    sources, rows = mixing.copies(odd, mixing.Target(passes=1.5))
+    assert rows.count() == odd.count() and rows.agg(F.min("__copies")).first()[0] >= 1
+    assert mixing.mixture(odd, mixing.Target(passes=1.5)).columns == odd.columns
+    assert mixing.mixture(empty, mixing.Target(passes=1.5)).count() == 0
+
+
+def test_mixture_spends_its_budget(spark):
+    rows = spark.range(20000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 < 7, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 3)).alias("source"), F.lit("word " * 8).alias("text"))
+    sources, mixed = mixing.copies(rows, mixing.Target(passes=2.0))
+    spent = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(F.col("__copies") * 10).alias("n")).collect()}
+    for r in sources.collect():
+        assert abs(spent[r.name] - r.quota) <= 10 and abs(r.quota / sum(spent.values()) - r.weight) < 0.01
+
+
+def test_token_counts_and_packing(odd, empty):
+    from tokenizers import Tokenizer
+
+    path = packing.vocabulary("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    rows = odd.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).collect()
+    found = {r.doc_id: r for r in token_counts.token_counts(odd, path).collect()}
+    for r in rows:
+        n = len(library.encode(r.text or "", add_special_tokens=False).ids)
+        assert (found[r.doc_id].n_tokens, found[r.doc_id].n_bytes, found[r.doc_id].over_limit) == (n, len((r.text or "").encode()), n > 2048)
+    assert token_counts.token_counts(empty, path).count() == 0
+    pieces = packing.pack(odd, packing.vocabulary("byte_bpe_50k.json")).collect()
+    sequences = {}
+    for p in pieces:
+        sequences.setdefault(p.sequence_id, []).append(p)
+    for s, own in sequences.items():
+        own.sort(key=lambda p: p.offset)
+        assert [p.offset for p in own] == list(np.cumsum([0] + [p.length for p in own])[:-1])
+        assert sum(p.length for p in own) == own[0].sequence_length and (own[0].sequence_length == 1024 or s == max(sequences))
+    assert packing.pack(empty, packing.vocabulary("byte_bpe_50k.json")).count() == 0
+
+
+def test_chat_round_trip(spark):
+    texts = ["</s>[INST] ok [/INST]", "a\\b", "\\l\\\\b", "<|turn|>x<|end|>", "", None, "<<SYS>>", "|>|>", "[", "<<s>🙂"]
+    rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(texts)] + [(2, 0, None, "x"), (None, None, "us<|er", "y")]
+    table = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, turns string")
+    done = {r.conv_id: r for r in chat.read_back(chat.formatted(table)).collect()}
+    assert [(t.role, t.text) for t in done[1].turns] == [(r, t or "") for _, _, r, t in rows[:10]]
+    assert done[1].loss_text == "".join(t or "" for _, _, r, t in rows[:10] if r == "assistant")
+    assert done[None].turns[0].role == "us<|er" and done[2].turns[0].role == ""
+    assert chat.digests(table.limit(0)).count() == 0
+
+
+def test_pipeline_keeps_what_it_should(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    kept = corpus_pipeline.language(spark, docs, data)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+    once = corpus_pipeline.near_duplicates(spark, docs, data)
+    assert once.count() == jaccard.near_duplicates(docs).select("component_id").distinct().count()
+    pieces = corpus_pipeline.run(spark, data).collect()
+    assert {p.doc_id for p in pieces} <= {r.doc_id for r in once.collect()}
+    assert len({p.doc_id for p in pieces}) == once.count()
