@@ -62,23 +62,20 @@ def search(vectors: DataFrame, k: int, every: int, id_name: str = "vec_id", vect
     project = np.random.default_rng(seed).normal(size=((facts["size"] or 0) + 1, projections))
     stop = chi_square_quantile(sure, projections)
 
-    def leaves(ids: np.ndarray, x: np.ndarray) -> tuple[float, bytes]:
-        """Reorders a block by its kd-tree; the body is: vectors, their projections."""
+    def leaves(ids: np.ndarray, x: np.ndarray) -> bytes:
+        """Reorders a block by its kd-tree; gives the projections of its vectors."""
         lift = np.sqrt(np.maximum(most - np.einsum("ij,ij->i", x, x), 0))
         points = np.concatenate([x, lift[:, None]], 1) @ project
         order, _ = kd_order(points)
         ids[:], x[:] = ids[order], x[order]
-        return 0.0, x.tobytes() + points[order].tobytes()
+        return points[order].tobytes()
 
-    plain = lambda ids, x: (0.0, x.tobytes())
     blocks = packed(rows, facts.n, [F.xxhash64("id"), F.col("id")], leaves)
-    asked = packed(queries, queries.count(), [F.col("id")], plain)
+    asked = packed(queries, queries.count(), [F.col("id")])
 
     def best(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         qid, cid = (np.frombuffer(row[c], "<i8") for c in ("q_ids", "c_ids"))
-        q, body = np.frombuffer(row["q_body"]).reshape(len(qid), -1), np.frombuffer(row["c_body"])
-        x = body[: len(cid) * q.shape[1]].reshape(len(cid), -1)
-        points = body[len(cid) * q.shape[1] :].reshape(len(cid), -1)
+        q, x, points = (np.frombuffer(row[c]).reshape(len(i), -1) for c, i in (("q_body", qid), ("c_body", cid), ("c_more", cid)))
         runs = np.append(np.arange(0, len(cid), _LEAF), len(cid))  # leaves of one size: neighbours in kd order
         low = np.minimum.reduceat(points, runs[:-1])
         high = np.maximum.reduceat(points, runs[:-1])

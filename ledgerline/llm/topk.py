@@ -59,10 +59,8 @@ def search(vectors: DataFrame, k: int, every: int, head: int, id_name: str = "ve
     queries = rows.filter(F.col("id") % every == 0)
     n, m = rows.count(), queries.count()
     length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
-    plain = lambda ids, x: (0.0, x.tobytes())
-    longest = lambda ids, x: (np.sqrt((x * x).sum(1).max(initial=0)), x.tobytes())
-    blocks = packed(rows, n, [F.desc(length), F.col("id")], longest)
-    asked = packed(queries, m, [F.col("id")], plain)
+    blocks = packed(rows, n, [F.desc(length), F.col("id")])
+    asked = packed(queries, m, [F.col("id")])
 
     def best(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         qid, cid = (np.frombuffer(row[c], "<i8") for c in ("q_ids", "c_ids"))

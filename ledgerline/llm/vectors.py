@@ -13,7 +13,7 @@ from ledgerline.llm.store import written
 
 #: Rows of one cell of the grid on either side; bounds what one task holds.
 BLOCK_ROWS = 8192
-BLOCK = "block long, top double, ids binary, body binary"
+BLOCK = "block long, n int, ids binary, body binary, more binary"
 
 
 def usable(table: DataFrame, id_name: str, vector_name: str) -> DataFrame:
@@ -35,10 +35,10 @@ def matrix(vectors: pa.Array) -> np.ndarray:
     return flat.reshape(len(vectors), -1).astype(np.float64)
 
 
-def packed(rows: DataFrame, n_rows: int, by: list[Column], pack: Callable[[np.ndarray, np.ndarray], tuple[float, bytes]]) -> DataFrame:
-    """(block, top, ids, body): rows (id, vec) range-partitioned by `by`, in that order, in blocks of BLOCK_ROWS at most.
+def packed(rows: DataFrame, n_rows: int, by: list[Column], more: Callable[[np.ndarray, np.ndarray], bytes] | None = None) -> DataFrame:
+    """(block, n, ids, body, more): rows (id, vec) range-partitioned by `by`, in that order, in blocks of BLOCK_ROWS at most.
 
-    pack: from ids and vectors to the block's bound and bytes. It may reorder both in place.
+    body: the vectors. more: further bytes of each block, from its ids and vectors; it may reorder both in place.
     """
     parts = max(1, -(-n_rows // BLOCK_ROWS))
     dealt = rows.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("part", F.spark_partition_id())
@@ -49,9 +49,11 @@ def packed(rows: DataFrame, n_rows: int, by: list[Column], pack: Callable[[np.nd
 
         def block(rows: pa.Table) -> pa.RecordBatch:
             ids, vecs = rows.column(0).to_numpy().copy(), matrix(rows.column(1).combine_chunks())
-            top, body = pack(ids, vecs)
+            added = more(ids, vecs) if more else b""
             key = rows.column(2)[0].as_py() * (1 << 32) + made
-            return pa.RecordBatch.from_pydict({"block": [key], "top": [float(top)], "ids": [ids.astype("<i8").tobytes()], "body": [body]})
+            return pa.RecordBatch.from_arrays(
+                [pa.array([key], pa.int64()), pa.array([len(ids)], pa.int32()), *(pa.array([b], pa.binary()) for b in (ids.astype("<i8").tobytes(), vecs.tobytes(), added))],
+                names=["block", "n", "ids", "body", "more"])
 
         for batch in stream:
             held.append(batch)
@@ -67,10 +69,18 @@ def packed(rows: DataFrame, n_rows: int, by: list[Column], pack: Callable[[np.nd
 
 
 def _numbered(blocks: DataFrame) -> tuple[DataFrame, int]:
-    """The blocks with numbers from 0, and how many there are. A list of block keys, one for thousands of rows, passes the driver."""
-    keys = sorted(r.block for r in blocks.select("block").collect())
-    numbers = blocks.sparkSession.createDataFrame(list(enumerate(keys)), "cell long, block long")
-    return blocks.join(numbers, "block").drop("block"), len(keys)
+    """(cell, ids, body, more), cells numbered from 0, and how many there are. Neighbouring blocks are one cell, of BLOCK_ROWS rows at most.
+
+    A list of block keys, one for thousands of rows, passes the driver.
+    """
+    cells, held = [], BLOCK_ROWS
+    for block, n in sorted((r.block, r.n) for r in blocks.select("block", "n").collect()):
+        held = held + n if held + n <= BLOCK_ROWS else n
+        cells.append((cells[-1][0] + (held == n) if cells else 0, block))
+    numbers = blocks.sparkSession.createDataFrame(cells, "cell long, block long")
+    own = F.sort_array(F.collect_list(F.struct("block", "ids", "body", "more")))
+    merged = blocks.join(numbers, "block").groupBy("cell").agg(own.alias("own"))
+    return merged.select("cell", *[F.col(f"own.{c}").alias(c) for c in ("ids", "body", "more")]), cells[-1][0] + 1 if cells else 0
 
 
 def grid(queries: DataFrame, candidates: DataFrame, best: Callable, k: int, score: str = "double") -> DataFrame:
@@ -91,7 +101,7 @@ def grid(queries: DataFrame, candidates: DataFrame, best: Callable, k: int, scor
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             for i in range(batch.num_rows):
-                q, v, s = best({c: batch.column(c)[i].as_py() for c in batch.schema.names})
+                q, v, s = best({c: b"".join(batch.column(c)[i].as_py()) for c in batch.schema.names if c not in "ij"})
                 yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, kind)], names=["query_id", "vec_id", "score"])
 
     found = met.mapInArrow(run, f"query_id long, vec_id long, score {score}")
