@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -54,19 +54,34 @@ def require_unique(hops: list[Hop]) -> None:
 
 
 def checked_join(events: DataFrame, hops: list[Hop], how: str = "inner", validate: bool = True) -> DataFrame:
-    """Join every hop in turn after testing that its parent key is unique; keys of the same name become one column.
+    """Join every hop after testing that its parent key is unique; keys of the same name become one column.
 
+    Parents of parents are joined to these first, so events are joined, and shuffled, once per key of their own.
     No side is forced to be broadcast: Spark does that by the size of the table (`autoBroadcastJoinThreshold`, and again
     with measured sizes at run time), and splits hot keys of the other joins (`adaptive.skewJoin`).
     """
     if validate:
         require_unique(hops)
-    joined = events
+    for hop in folded(events.columns, hops, how):
+        events = _one_hop(events, hop, how)
+    return events
+
+
+def _one_hop(rows: DataFrame, hop: Hop, how: str) -> DataFrame:
+    same = hop.child_key == hop.parent_key
+    return rows.join(hop.parent, hop.child_key if same else F.col(hop.child_key) == F.col(hop.parent_key), how)
+
+
+def folded(columns: list[str], hops: list[Hop], how: str = "inner") -> list[Hop]:
+    """The hops whose key is one of `columns`, each with the hops from its parent joined to that parent already."""
+    chains: list[Hop] = []
     for hop in hops:
-        same = hop.child_key == hop.parent_key
-        on = hop.child_key if same else F.col(hop.child_key) == F.col(hop.parent_key)
-        joined = joined.join(hop.parent, on, how)
-    return joined
+        at = next((i for i, c in enumerate(chains) if hop.child_key in c.parent.columns), None)
+        if at is None or hop.child_key in columns:
+            chains.append(hop)
+        else:
+            chains[at] = replace(chains[at], parent=_one_hop(chains[at].parent, hop, how))
+    return chains
 
 
 def lookup_or(rows: DataFrame, hop: Hop, found: str, fallbacks: list[Column], alias: str) -> DataFrame:
@@ -82,20 +97,27 @@ def walk(events: DataFrame, hops: list[Hop], sums: dict[str, Column],
     """Follow many-to-one joins with additive measures, keeping the columns `carry` of events and parents.
 
     Before a hop the measures are summed per foreign key and the keys still needed, unless the hop says otherwise, so that a
-    key with a third of all events reaches the join as few rows, and every step shuffles fewer. Where columns of the events themselves are carried, such sums would hardly shorten anything;
-    rows are then joined as they are, and Spark splits hot keys of the join (`adaptive.skewJoin`).
+    key with a third of all events reaches the join as few rows, and every step shuffles fewer. Where columns of the events
+    themselves are carried, such sums would hardly shorten anything; rows are then joined as they are, to chains of parents
+    joined beforehand, and Spark splits hot keys of the join (`adaptive.skewJoin`).
     Returns the rows and the aggregates that finish the sums; the result is the same whichever way is taken.
     """
-    additive = not set(carry) & set(events.columns)
     child_keys = [hop.child_key for hop in hops]
     rows = events
+    if set(carry) & set(events.columns):
+        slim, seen = [], set(events.columns)
+        for i, hop in enumerate(hops):
+            kept = [c for c in hop.parent.columns if c in {*child_keys, *carry} - seen]
+            seen.update(kept)
+            slim.append(replace(hop, parent=hop.parent.select(F.col(hop.parent_key).alias(f"_key{i}"), *kept), parent_key=f"_key{i}"))
+        return checked_join(events, slim, validate=False).drop(*[hop.parent_key for hop in slim]), sums
     for i, hop in enumerate(hops):
         later = {*child_keys[i + 1:], *carry}
         parent = hop.parent.select(
             F.col(hop.parent_key).alias("_parent_key"),
             *[c for c in hop.parent.columns if c in later and c not in rows.columns],
         )
-        if additive and hop.sum_first:
+        if hop.sum_first:
             kept = [c for c in rows.columns if c in {*child_keys[i:], *carry}]
             rows = rows.groupBy(*kept).agg(*(total.alias(name) for name, total in sums.items()))
             sums = {name: F.sum(name) for name in sums}

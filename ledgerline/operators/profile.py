@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.joins import Hop
+from ledgerline.operators.joins import Hop, folded, require_unique
 
 MIN_RELATED_TABLES = 3
 MIN_EVENT_ROWS = 50_000
@@ -239,9 +239,16 @@ def joined_value_counts(events: DataFrame, hops: list[Hop]) -> list[Counts]:
     """Value counts of every column of the joined rows, without joining the rows.
 
     A parent column has the value counts of its own table, each row weighted with its number of events, and the weights
-    of a parent sum up from those of its children. So every table is unpivoted at its own size. Holds for joins that lose
-    no event, which the join report tells.
+    of a parent sum up from those of its children. So every table is unpivoted at its own size. Parent keys must be unique.
+    Events that lose a parent on the way are left out first; without orphans, which are counted per key, nothing is.
     """
+    require_unique(hops)
+    child_of = {h.name: next((o.parent for o in hops if h.child_key in o.parent.columns), events) for h in hops}
+    lost = integrity({h.name: (events if h.child_key in events.columns else child_of[h.name], h) for h in hops})
+    if not lost.filter("NOT resolves").isEmpty():
+        for chain in folded(events.columns, hops):
+            survivors = chain.parent.select(F.col(chain.parent_key).alias("_survivor"))
+            events = events.join(survivors, F.col(chain.child_key) == F.col("_survivor"), "left_semi")
     counted = [Columns(events, events.columns, {})]
     weighted: dict[str, DataFrame] = {}
     for hop in hops:

@@ -244,20 +244,28 @@ def w5(spark, root):
     return transaction_messages(spark, root)
 
 
-@query("w5_customer_messages", """SELECT c_custkey AS id_student, coalesce(n_name, '') AS region,
-  coalesce(c_mktsegment, '') AS highest_education FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey""")
-def w5_customers(spark, root):
+CUSTOMER_MESSAGES_SQL = """SELECT c_custkey AS id_student, '' AS gender, coalesce(n_name, '') AS region,
+  coalesce(c_mktsegment, '') AS highest_education, '' AS disability FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey"""
+
+
+# The tables do not have all fields; the others take their defaults.
+@query("w5_customer_messages", CUSTOMER_MESSAGES_SQL)
+def customer_messages(spark, root):
     nations = to_nation(spark, root)[2]
     rows = checked_join(table(spark, root, "customer"), [nations], how="left")
-    return lookups.message_rows(rows, {"id_student": (F.col("c_custkey"), "bigint"), "region": (F.col("n_name"), "string"),
-                                       "highest_education": (F.col("c_mktsegment"), "string")})
+    known = {"id_student": F.col("c_custkey"), "region": F.col("n_name"), "highest_education": F.col("c_mktsegment")}
+    return lookups.message_rows(rows, {
+        f.name: (known.get(f.name, F.lit(None)), f.spark_type) for f in messages.fields_of("Customer")})
 
 
-@query("w5_entitlement_messages", """SELECT o_custkey AS id_student,
+ENTITLEMENT_MESSAGES_SQL = """SELECT o_custkey AS id_student,
   CAST(coalesce(datediff('day', DATE '1970-01-01', min(o_orderdate::DATE)), 0) AS DOUBLE) AS date_registration,
   CAST(coalesce(datediff('day', DATE '1970-01-01', max(o_orderdate::DATE) FILTER (WHERE o_orderstatus = 'F'
-    AND o_orderpriority = '1-URGENT')), 0) AS DOUBLE) AS date_unregistration FROM orders GROUP BY o_custkey""")
-def w5_entitlements(spark, root):
+    AND o_orderpriority = '1-URGENT')), 0) AS DOUBLE) AS date_unregistration FROM orders GROUP BY o_custkey"""
+
+
+@query("w5_entitlement_messages", ENTITLEMENT_MESSAGES_SQL)
+def entitlement_messages(spark, root):
     from ledgerline.plans.tables import entitlements
 
     return lookups.message_rows(entitlements(spark, root), {

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import metrics as m
 from ledgerline.operators import partitioning as p
-from ledgerline.operators.joins import checked_join
+from ledgerline.operators.joins import checked_join, walk
 from ledgerline.operators.profile import joined_value_counts
+from ledgerline.plans.joining import CREDIT_SQL, credit_path
 from ledgerline.plans.metrics import COUNTS_SQL, keyed_sql, nation_counts
 from ledgerline.plans.registry import query
 from ledgerline.plans.tables import LINES_SQL, STAR_SQL, all_parents, catalog, lines, table, to_nation
@@ -31,10 +32,11 @@ def source_of(column: str) -> str:
     return next((t for t in TABLE_NAMES if column in COLUMNS[t]), "computed")
 
 
-CANDIDATES_SQL = f"""WITH joined AS MATERIALIZED (SELECT * FROM {STAR_SQL} JOIN part ON p_partkey = l_partkey),
+def candidates_sql(joined: str, columns: list[str]) -> str:
+    return f"""WITH joined AS MATERIALIZED (SELECT * FROM {joined}),
   counts AS ({" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, '{source_of(c)}' AS source, count(*) AS n FROM joined WHERE {c} IS NOT NULL GROUP BY {c}"
-    for c in JOINED_COLUMNS)}),
+    for c in columns)}),
   stats AS (SELECT column_name, source, count(*) AS distinct_count, min(n) AS min_count,
     CAST(floor(median(n)) AS BIGINT) AS median_count, max(n) AS max_count,
     CAST(printf('%.2f', max(n) / min(n)) AS DOUBLE) AS skew_ratio FROM counts GROUP BY column_name, source),
@@ -46,11 +48,23 @@ CANDIDATES_SQL = f"""WITH joined AS MATERIALIZED (SELECT * FROM {STAR_SQL} JOIN
   SELECT *, rejected_because = '' AS viable FROM judged"""
 
 
+CANDIDATES_SQL = candidates_sql(f"{STAR_SQL} JOIN part ON p_partkey = l_partkey", JOINED_COLUMNS)
+
+
 @query("k1_candidate_keys", CANDIDATES_SQL)
 def k1(spark, root):
     return candidates(spark, root)
 
 
+# Customers in debt are no parents here, so that events are lost in the join.
+@query("k1_lossy_candidate_keys", candidates_sql(
+    f"{LINES_SQL} l JOIN orders ON o_orderkey = l_orderkey JOIN {CREDIT_SQL} c ON c_custkey = o_custkey",
+    [c for c in JOINED_COLUMNS if source_of(c) in ("lineitem", "orders", "customer", "computed")]))
+def k1_lossy(spark, root):
+    counts = joined_value_counts(lines(spark, root), credit_path(spark, root))
+    return p.score_candidates(counts, COLUMNS, NEVER)
+
+
 @query("k2_owning_sources", f"SELECT column_name, source FROM ({CANDIDATES_SQL})")
 def k2(spark, root):
     # Names are metadata: no row is read for them. Only columns that have a value are candidates.
@@ -137,8 +151,8 @@ def k6(spark, root):
 
 @query("k6_measured_partitions", PARTITIONS_SQL)
 def k6_measured(spark, root):
-    joined = checked_join(lines(spark, root), to_nation(spark, root), validate=False)
-    return p.measured_partitions(joined, "n_name")
+    rows, sums = walk(lines(spark, root), to_nation(spark, root), {"n": F.count(F.lit(1))}, ["n_name"])
+    return p.measured_partitions(rows, "n_name", total=sums["n"])
 
 
 @query("k6_partition_balance", f"{SIZES_SQL} SELECT * FROM balance")

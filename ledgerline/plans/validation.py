@@ -8,7 +8,8 @@ from ledgerline.functions import messages, scalars
 from ledgerline.operators import validate
 from ledgerline.operators.metrics import ALL_ROWS, NON_NULL, group_metric
 from ledgerline.operators.prepare import unique_texts
-from ledgerline.plans.joining import TRANSACTION_MESSAGES_SQL, _classified, transaction_messages, two_results, ASIA_SQL, EARLY_SQL
+from ledgerline.plans.joining import (ASIA_SQL, CUSTOMER_MESSAGES_SQL, EARLY_SQL, ENTITLEMENT_MESSAGES_SQL, TRANSACTION_MESSAGES_SQL, _classified,
+                                      customer_messages, entitlement_messages, transaction_messages, two_results)
 from ledgerline.plans.metrics import ENTITLED_SQL, MECHANISM_SQL, keyed_sql
 from ledgerline.plans.registry import query
 from ledgerline.plans.streams import streamed_lines
@@ -124,6 +125,18 @@ def v4(spark, root):
     return messages.payload_sizes(transaction_messages(spark, root), "Transaction")
 
 
+@query("v4_customer_payload", payload_sql(
+    "Customer", CUSTOMER_MESSAGES_SQL, ["id_student"], [], ["gender", "region", "highest_education", "disability"]))
+def v4_customers(spark, root):
+    return messages.payload_sizes(customer_messages(spark, root), "Customer")
+
+
+@query("v4_entitlement_payload", payload_sql(
+    "Entitlement", ENTITLEMENT_MESSAGES_SQL, ["id_student"], ["date_registration", "date_unregistration"], []))
+def v4_entitlements(spark, root):
+    return messages.payload_sizes(entitlement_messages(spark, root), "Entitlement")
+
+
 REVENUE_ROWS_SQL = """SELECT o_orderstatus || ' "' || o_orderpriority || '" é' AS region, o_custkey * 1000 AS transactions,
   o_totalprice * 100 AS revenue_total, o_totalprice / 1000000 AS revenue_mean FROM orders"""
 

@@ -392,3 +392,30 @@ def test_result_of_zero_counts_is_present(spark):
     zero, absent = spark.createDataFrame([("a", 0, 0.0)], schema), spark.createDataFrame([], schema)
     found = {r.source: r.passed for r in validate.reconcile(current, {"zero": zero, "absent": absent}, "k").collect()}
     assert found == {"zero": False, "absent": None}
+
+
+def test_parents_of_parents_are_joined_before_the_events(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        events = spark.createDataFrame([(1, 5.0), (2, 6.0), (3, 7.0)], "order int, v double")
+        orders = spark.createDataFrame([(1, 10), (2, 20)], "o int, customer int")
+        customers = spark.createDataFrame([(10, "x")], "c int, name string")
+        hops = [Hop(orders, "order", "o", "orders"), Hop(customers, "customer", "c", "customers")]
+        joined = checked_join(events, hops)
+        assert [tuple(r) for r in joined.collect()] == [(1, 5.0, 1, 10, 10, "x")]
+        outer = checked_join(events, hops, how="left").orderBy("order").collect()
+        assert [(r.order, r.customer, r.name) for r in outer] == [(1, 10, "x"), (2, 20, None), (3, None, None)]
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        sides = [line for line in plan.splitlines() if "Join" in line]
+        assert len(sides) == 2 and sides[0].lstrip(" +-:").startswith("Join") and "order#" in sides[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_value_counts_of_joins_that_lose_events(spark):
+    events = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (9, "d")], "order int, kind string")
+    orders = spark.createDataFrame([(1, 10), (2, 20)], "o int, customer int")
+    customers = spark.createDataFrame([(10, "x")], "c int, name string")
+    hops = [Hop(orders, "order", "o", "orders"), Hop(customers, "customer", "c", "customers")]
+    found = profile.frequency_summary(profile.joined_value_counts(events, hops)).collect()
+    assert {r.column_name: (r.row_count, r.distinct_count) for r in found} == {"order": (2, 1), "kind": (2, 2), "customer": (2, 1), "name": (2, 1)}
