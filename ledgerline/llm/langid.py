@@ -10,8 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ledgerline.llm.shingles import batches, mixed
+from ledgerline.llm.store import written
 
 SIZES = (2, 3, 4)  # characters of an n-gram
 SLOTS = 1 << 16  # of the filter, for every 64 languages
@@ -165,8 +167,22 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, known double")
 
 
-def kept(docs: DataFrame, filters: Filters, least_known: float) -> DataFrame:
-    """The rows of docs whose text is in a learned language that knows a share least_known of its n-grams at least."""
+def least_known(scored: DataFrame, quantile: float = 0.01, margin: float = 0.4) -> dict[str, float]:
+    """For each label the share of n-grams that its language must know of a text: a low quantile of the shares known of
+    all labelled texts with letters that are not held out, less the margin (a part of it).
+
+    scored: doc_id, lang, lang_pred and known of each row.
+    """
+    taught = scored.filter(f"doc_id IS NOT NULL AND lang IS NOT NULL AND lang_pred <> '{UNKNOWN}'").filter(~held_out(F.col("doc_id").cast("long")))
+    low = taught.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.percentile_approx("known", quantile).alias("low"))
+    return {r.lang: r.low * (1 - margin) for r in low.collect()}  # one row for each language
+
+
+def kept(docs: DataFrame, filters: Filters) -> DataFrame:
+    """The rows of docs whose text is in a learned language that knows enough of its n-grams; see least_known.
+
+    Texts are scored once and written with their scores, since the threshold needs the scores of all labelled rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(filters)
     names = [c for c in docs.columns if c != "text"]
     rows = docs.select(*names, F.col("text").cast("string").alias("text"))
@@ -174,9 +190,15 @@ def kept(docs: DataFrame, filters: Filters, least_known: float) -> DataFrame:
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(stream, 1 << 18):
             langs, _, known = _scored(shared.value, batch.column(batch.num_columns - 1).to_pylist())
-            yield batch.filter(pa.array([lang != UNKNOWN and k >= least_known for lang, k in zip(langs, known)], pa.bool_()))
-
-    return rows.mapInArrow(run, rows.schema).select(docs.columns)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(known)], names=[*batch.schema.names, "__lang", "__known"])
+
+    schema = StructType([*rows.schema.fields, StructField("__lang", StringType()), StructField("__known", DoubleType())])
+    scored = written(rows.mapInArrow(run, schema), "scored")
+    least = least_known(scored.select("doc_id", "lang", F.col("__lang").alias("lang_pred"), F.col("__known").alias("known")))
+    if not least:
+        return scored.select(docs.columns).limit(0)
+    enough = F.create_map(*[F.lit(x) for lang, share in sorted(least.items()) for x in (lang, share)])
+    return scored.filter((F.col("__lang") != UNKNOWN) & (F.col("__known") >= enough[F.col("__lang")])).select(docs.columns)
 
 
 def identify(docs: DataFrame, sample: int = 4000, profile: int = 3000) -> DataFrame:

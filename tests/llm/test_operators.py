@@ -189,3 +189,22 @@ def test_pipeline_keeps_what_it_should(spark, data):
     pieces = corpus_pipeline.run(spark, data).collect()
     assert {p.doc_id for p in pieces} <= {r.doc_id for r in once.collect()}
     assert len({p.doc_id for p in pieces}) == once.count()
+
+
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı hareket ederler.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "Semua orang dilahirkan merdeka dan mempunyai martabat dan hak-hak yang sama. Mereka dikaruniai akal dan hati nurani.",
+]
+
+
+def test_foreign_languages_and_noise_go(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    rng = np.random.default_rng(7)
+    noise = FOREIGN + ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 400)),
+                       " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n)) for n in rng.integers(2, 10, 80)), "123 !?", None]
+    more = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(noise)], "doc_id long, text string")
+    kept = corpus_pipeline.language(spark, docs.unionByName(more, allowMissingColumns=True), data)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(r.doc_id for r in docs.select("doc_id").collect())
