@@ -8,10 +8,11 @@ since at most t shingles of the prefix that ends first are missing from the othe
 number of classes that follows the size of the set, so that pairs per set stay in proportion to t. Sizes that straddle a
 power of two use both numbers of classes. Very small sets have single shingles only.
 
-Only the components of the links are asked for, so that a key with many sets needs no pairs of all of them: each set is
-compared with the smallest and largest set of its keys first; after that only sets of one key that are still in
-different components are paired, behind exact bounds (sizes; sketches of parities and of counts, whose distance is at most
-the size of the symmetric difference). All surviving pairs are verified on the whole texts. No list is capped.
+The join (similar_sets) pairs all sets of each key, in blocks, so that a key with many sets is many groups. Where only the
+components of the links are asked for (near_duplicates), a key needs no pairs of all its sets: each set is compared with
+the smallest and largest set of its keys first; after that only sets of one key that are still in different components are
+paired. Both go behind exact bounds (sizes; sketches of parities and of counts, whose distance is at most the size of the
+symmetric difference), and all surviving pairs are verified on the whole texts. No list is capped.
 
 Shingles and sets are known by 64-bit hashes; among 10^10 different sets about three pairs collide.
 """
@@ -144,37 +145,142 @@ def _sets(words: int):
     return run, "cid long, shingles binary"
 
 
-def _verified(num: int, den: int):
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(den * both >= num * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def _similar(num: int, den: int):
+    """Whether two sets, as bytes, are similar enough."""
 
-    return run, "a long, b long"
+    def test(x: bytes, y: bytes) -> bool:
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return den * both >= num * (len(x) + len(y) - both)
+
+    return test
 
 
 def _possible(num: int, den: int):
-    """Of rows (a, b, nx, ny, counters of a, counters of b) the pairs whose counters allow similarity."""
+    """Whether the counters of two sets allow similarity; they hold each shingle once, unless a counter is full."""
+
+    def test(x: bytes, y: bytes) -> bool:
+        m, n = (int(np.frombuffer(v, "<u2").sum(dtype=np.int64)) for v in (x, y))
+        full = any((np.frombuffer(v, "<u2") == 65535).any() for v in (x, y))
+        return full or (den + num) * counter_distance(x, y) <= (den - num) * (m + n)
+
+    return test
+
+
+def _tested(test):
+    """The pairs (a, b) that pass, of rows in the order of cell and b: a set's bytes (b is null), then the pairs of the cell."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, {}
         for batch in stream:
-            rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)))
-            keep = [(den + num) * counter_distance(x, y) <= (den - num) * (m + n) for m, n, x, y in rows]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            keep = []
+            for cell, a, b, value in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if cell != at:
+                    at, held = cell, {}
+                if b is None:
+                    held[a] = value
+                keep.append(b is not None and test(held[a], held[b]))
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run, "a long, b long"
 
 
+def celled(pairs: DataFrame, values: DataFrame, test, block: int = 256) -> DataFrame:
+    """The distinct pairs (a, b) that pass the test of their values (a written table: cid, value).
+
+    Sets are dealt to blocks of about `block`, pairs to the cells of two blocks. A set goes once to each cell where it has a
+    pair, so that a group of many similar sets moves few copies of each, and a task holds the sets of one cell.
+    """
+    n = max(1, -(-values.count() // block))
+    i, j = (F.pmod(F.xxhash64(c), F.lit(n)) for c in "ab")
+    dealt = pairs.withColumn("cell", F.least(i, j) * n + F.greatest(i, j))
+    needed = dealt.select("cell", F.col("a").alias("cid")).unionAll(dealt.select("cell", F.col("b").alias("cid"))).distinct()
+    sets = needed.join(values, "cid").select("cell", F.col("cid").alias("a"), F.lit(None).cast("long").alias("b"), "value")
+    rows = sets.unionAll(dealt.select("cell", "a", "b", F.lit(None).cast("binary").alias("value")))
+    return rows.repartition("cell").sortWithinPartitions("cell", F.asc_nulls_first("b")).mapInArrow(*_tested(test))
+
+
 def _near(num: int, den: int) -> Column:
     """Whether sizes and sketches of x and y allow similarity: of nx + ny shingles at most a part can be unshared."""
     unshared = " + ".join(f"bit_count(x.{s} ^ y.{s})" for s in _S)
     return F.expr(f"{den} * least(x.n, y.n) >= {num} * greatest(x.n, y.n) AND {den + num} * ({unshared}) <= {den - num} * (x.n + y.n)")
 
 
+class _Sets:
+    """The sets of the texts of docs, their index and the links among them. Tables are written once."""
+
+    def __init__(self, docs: DataFrame, words: int, num: int, den: int):
+        self.words, self.num, self.den = words, num, den
+        self.texts = texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        profile = written(texts.mapInArrow(*_profile(words)), "profile")
+        rows = profile.filter("bucket IS NULL").drop("bucket", "freq")
+        self.slim = rows.select("doc_id", "n", "cid")
+        counts = np.zeros(1 << BUCKET_BITS, np.int64)
+        for bucket, n in profile.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("freq")).collect():  # at most 2^16 rows
+            counts[bucket] = n
+        limit = counts.mean() + 8 * np.sqrt(counts.mean()) + 8
+        sets = rows.filter("doc_id IS NOT NULL AND n > 0")
+        known = texts.filter("doc_id IS NOT NULL").select("text").mapInArrow(*_index(words, counts, limit, num, den))
+        index = written(known, "index")
+        shared = index.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high")
+        self.members = written(index.join(shared, "key").distinct(), "members")
+        classes = sets.groupBy("cid").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ["n", *_S, "counters"]))
+        self.classes = written(classes.join(self.members.select("cid").distinct(), "cid", "left_semi"), "classes")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The distinct pairs (a, b), bounded already, that hold on the whole texts."""
+        classes = self.classes
+        pairs = celled(written(pairs, "pairs"), classes.select("cid", F.col("counters").alias("value")), _possible(self.num, self.den))
+        pairs = written(pairs, "possible")
+        nodes = pairs.select("a").unionAll(pairs.select(F.col("b").alias("a"))).distinct()
+        wanted = written(classes.join(nodes, classes.cid == nodes.a, "left_semi").select("doc_id").distinct(), "wanted")
+        found = self.texts.join(small(wanted), "doc_id", "left_semi").select("text").mapInArrow(*_sets(self.words)).dropDuplicates(["cid"])
+        found = written(found.withColumnRenamed("shingles", "value"), "sets")
+        return written(celled(pairs, found, _similar(self.num, self.den)), "verified")
+
+    def bounded(self, pairs: DataFrame) -> DataFrame:
+        x, y = self.classes.alias("x"), self.classes.alias("y")
+        return pairs.join(x, pairs.a == F.col("x.cid")).join(y, pairs.b == F.col("y.cid")).filter(_near(self.num, self.den)).select("a", "b")
+
+    def all_links(self, block: int = 256) -> DataFrame:
+        """All pairs (a < b) of similar sets. The sets of a key are paired by blocks, two of which make a group of the join."""
+        many = written(self.members.groupBy("key").count().filter(F.col("count") > block), "many")
+        sized = self.members.select("key", "cid").join(self.classes.select("cid", "n"), "cid").join(small(many), "key", "left")
+        sized = sized.withColumn("blocks", F.coalesce(F.ceil(F.col("count") / block), F.lit(1)))
+        sized = sized.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks"))).drop("count")
+        sized = written(sized, "sized")
+        x = sized.select("key", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"), F.col("cid").alias("a"), F.col("n").alias("na"))
+        y = sized.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("i"), F.col("own").alias("j"), F.col("cid").alias("b"), F.col("n").alias("nb"))
+        met = x.join(y, ["key", "i", "j"]).filter(f"(i < j OR a < b) AND {self.den} * least(na, nb) >= {self.num} * greatest(na, nb)")
+        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return self.links(self.bounded(pairs))
+
+    def connecting_links(self) -> DataFrame:
+        """Some pairs of similar sets, enough to have the components of all of them."""
+        members = self.members
+        ends = members.select("cid", F.explode(F.array("low", "high")).alias("end"))
+        stars = ends.filter("cid <> end").select(F.least("cid", "end").alias("a"), F.greatest("cid", "end").alias("b")).distinct()
+        first = self.links(self.bounded(stars))
+        parts = components(first)
+        placed = members.join(parts, members.cid == parts.node, "left").select("key", "cid", F.coalesce("root", "cid").alias("part"))
+        split = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("key")
+        rest = placed.join(split, "key", "left_semi").join(self.classes.drop("doc_id", "counters"), "cid")
+        x, y = rest.alias("x"), rest.alias("y")
+        apart = x.join(y, F.expr("x.key = y.key AND x.cid < y.cid AND x.part <> y.part") & _near(self.num, self.den))
+        return first.unionAll(self.links(apart.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()))
+
+    def named(self, links: DataFrame) -> DataFrame:
+        """Per row of docs: doc_id, n_shingles, component_id, cid."""
+        slim, parts = self.slim, components(links)
+        named = slim.join(parts, slim.cid == parts.node, "left").select("doc_id", "n", "cid", F.coalesce("root", "cid").alias("part"))
+        named = written(named, "named")
+        least = named.filter("n > 0").groupBy("part").agg(F.min("doc_id").alias("least"))
+        own = named.filter("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "cid")
+        linked = named.filter("n > 0 AND doc_id IS NOT NULL").join(least, "part").select(
+            "doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"), "cid")
+        return linked.unionAll(own)
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id, the smallest doc_id reachable by links of similarity num / den or more.
 
@@ -184,58 +290,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     component; rows that repeat a doc_id with other texts keep their own rows. Other columns are ignored. An empty
     table gives no rows.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = written(texts.mapInArrow(*_profile(words)), "profile")
-    rows = profile.filter("bucket IS NULL").drop("bucket", "freq")
-    slim = rows.select("doc_id", "n", "cid")
-    counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    for bucket, n in profile.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("freq")).collect():  # at most 2^16 rows
-        counts[bucket] = n
-    limit = counts.mean() + 8 * np.sqrt(counts.mean()) + 8
-    sets = rows.filter("doc_id IS NOT NULL AND n > 0")
-    known = texts.filter("doc_id IS NOT NULL").select("text").mapInArrow(*_index(words, counts, limit, num, den))
-    index = written(known, "index")
-    shared = index.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high")
-    members = written(index.join(shared, "key").distinct(), "members")
-    classes = sets.groupBy("cid").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ["n", *_S, "counters"]))
-    classes = written(classes.join(members.select("cid").distinct(), "cid", "left_semi"), "classes")
-
-    def links(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b), bounded already, that hold on the whole texts."""
-        x, y = (classes.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("counters").alias(f"c{c}")) for c in "ab")
-        met = written(pairs, "pairs").join(x, "a").join(y, "b").select("a", "b", "na", "nb", "ca", "cb")
-        pairs = written(met.mapInArrow(*_possible(num, den)), "possible")
-        nodes = pairs.select("a").unionAll(pairs.select(F.col("b").alias("a"))).distinct()
-        wanted = written(classes.join(nodes, classes.cid == nodes.a, "left_semi").select("doc_id").distinct(), "wanted")
-        found = texts.join(small(wanted), "doc_id", "left_semi").select("text").mapInArrow(*_sets(words)).dropDuplicates(["cid"])
-        found = written(found, "sets")
-        both = pairs.join(found.select(F.col("cid").alias("a"), F.col("shingles").alias("x")), "a").join(
-            found.select(F.col("cid").alias("b"), F.col("shingles").alias("y")), "b")
-        return written(both.select("a", "b", "x", "y").mapInArrow(*_verified(num, den)), "verified")
-
-    def bounded(pairs: DataFrame) -> DataFrame:
-        x, y = classes.alias("x"), classes.alias("y")
-        return pairs.join(x, pairs.a == F.col("x.cid")).join(y, pairs.b == F.col("y.cid")).filter(_near(num, den)).select("a", "b")
-
-    ends = members.select("cid", F.explode(F.array("low", "high")).alias("end"))
-    stars = ends.filter("cid <> end").select(F.least("cid", "end").alias("a"), F.greatest("cid", "end").alias("b")).distinct()
-    first = links(bounded(stars))
-    parts = components(first)
-    placed = members.join(parts, members.cid == parts.node, "left").select("key", "cid", F.coalesce("root", "cid").alias("part"))
-    split = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("key")
-    rest = placed.join(split, "key", "left_semi").join(classes.drop("doc_id", "counters"), "cid")
-    x, y = rest.alias("x"), rest.alias("y")
-    apart = x.join(y, F.expr("x.key = y.key AND x.cid < y.cid AND x.part <> y.part") & _near(num, den))
-    second = links(apart.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct())
-    parts = components(first.unionAll(second))
-
-    named = slim.join(parts, slim.cid == parts.node, "left").select("doc_id", "n", "cid", F.coalesce("root", "cid").alias("part"))
-    named = written(named, "named")
-    least = named.filter("n > 0").groupBy("part").agg(F.min("doc_id").alias("least"))
-    own = named.filter("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    linked = named.filter("n > 0 AND doc_id IS NOT NULL").join(least, "part").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
-    return linked.unionAll(own)
+    sets = _Sets(docs, words, num, den)
+    return sets.named(sets.connecting_links()).drop("cid")
+
+
+def similar_sets(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(pairs, rows). pairs: a < b, all pairs of different sets of shingles whose similarity is num / den or more, each once.
+
+    rows: per row of docs doc_id, n_shingles, component_id as in near_duplicates, cid, the set that a and b name, and n_links:
+    the number of other rows linked with it directly, those of the same set among them. Rows without doc_id or without
+    words link nothing and have 0.
+    """
+    sets = _Sets(docs, words, num, den)
+    pairs = sets.all_links()
+    rows = written(sets.named(pairs), "rows")
+    linking = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
+    copies = written(linking.groupBy("cid").agg(F.count("*").alias("copies")), "copies")
+    both = pairs.select(F.col("a").alias("to"), F.col("b").alias("cid")).unionAll(pairs.select(F.col("b").alias("to"), F.col("a").alias("cid")))
+    met = both.join(copies, "cid").groupBy(F.col("to").alias("cid")).agg(F.sum("copies").alias("others"))
+    degrees = copies.join(met, "cid", "left").select("cid", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"))
+    links = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("n", F.lit(0))).otherwise(0).cast("long")
+    return pairs, rows.join(degrees, "cid", "left").select("doc_id", "n_shingles", "component_id", "cid", links.alias("n_links"))
 
 
 def one_per_group(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:

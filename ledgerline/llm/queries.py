@@ -46,8 +46,8 @@ def nearest_neighbours(table):
 
 @query("op9_ngram_jaccard_join")
 def ngram_jaccard_join(table):
-    found = jaccard.near_duplicates(table("documents"), words=3, num=9, den=10)
-    return found.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id")
+    _, found = jaccard.similar_sets(table("documents"), words=3, num=9, den=10)
+    return found.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id", "n_links")
 
 
 @query("op5_curve_packing")

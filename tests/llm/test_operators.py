@@ -208,3 +208,28 @@ def test_foreign_languages_and_noise_go(spark, data):
     kept = corpus_pipeline.language(spark, docs.unionByName(more, allowMissingColumns=True), data)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+
+
+def test_all_links_equal_brute_force(spark, odd, empty):
+    rng = np.random.default_rng(6)
+    base = [list(rng.choice(WORDS, 60)) for _ in range(3)]
+    rows = []
+    for i in range(400):  # the sets of a base are more than one block of a key
+        words = list(base[0] if i < 320 else base[1 + i % 2])
+        for at in rng.integers(0, 60, rng.integers(0, 3)):
+            words[at] = f"w{rng.integers(0, 50)}"
+        rows.append((i, " ".join(words)))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: frozenset(tuple(w[j : j + 3]) for j in range(len(w) - 2)) for i, w in ((i, t.split()) for i, t in rows)}
+    alike = lambda x, y: 10 * len(x & y) >= 9 * len(x | y)
+    pairs, found = jaccard.similar_sets(table, 3, 9, 10)
+    found = {r.doc_id: r for r in found.collect()}
+    assert {i: r.n_links for i, r in found.items()} == {i: sum(alike(sets[i], sets[j]) for j in sets if j != i) for i in sets}
+    ids = {i: r.cid for i, r in found.items()}
+    wanted = {tuple(sorted((ids[i], ids[j]))) for i in sets for j in sets if ids[i] != ids[j] and alike(sets[i], sets[j])}
+    pairs = [(r.a, r.b) for r in pairs.collect()]
+    assert set(pairs) == wanted and len(pairs) == len(wanted)
+    assert {(r.doc_id, r.component_id) for r in found.values()} == {(r.doc_id, r.component_id) for r in jaccard.near_duplicates(table, 3, 9, 10).collect()}
+    links = sorted((-1 if r.doc_id is None else r.doc_id, r.n_links) for r in jaccard.similar_sets(odd)[1].collect())
+    assert links == [(-1, 0), (0, 2), (1, 2), (1, 2), (2, 0), (3, 0), (4, 0), (5, 0), (6, 1), (7, 1), (8, 0)]
+    assert jaccard.similar_sets(empty)[1].count() == 0
