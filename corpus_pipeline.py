@@ -32,8 +32,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats small sources, by 1.25 passes at most; every document stays at least once."""
-    return mixing.mixture(docs, mixing.Target(passes=1.25))
+    """Repeats sources of few tokens, as the packing counts them, by 1.25 passes at most; every document stays at least once."""
+    ship(spark)
+    return mixing.mixture(docs, mixing.Target(passes=1.25), packing.vocabulary("byte_bpe_50k.json"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm.packing import worker
+from ledgerline.llm.shingles import batches
 from ledgerline.llm.store import written
 
 BLOCKS = 1 << 12  # in which a source's documents are permuted
@@ -56,7 +61,20 @@ def estimated_tokens(text: Column) -> Column:
     return F.greatest(F.ceil(F.octet_length(F.coalesce(text.cast("string"), F.lit(""))) / 4), F.lit(1)).cast("long")
 
 
-def plan(docs: DataFrame, target: Target, tokens: Column, budget: int | None = None, seed: int = 5) -> tuple[DataFrame, DataFrame]:
+def _counted(path: str):
+    """Of rows (name, block, place, text) the tokens of each text; every document has one at least."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = worker(path)
+        for batch in batches(stream):
+            found = ids.of([t or "" for t in batch.column(3).to_pylist()])
+            n = np.maximum(np.array([len(i) for i in found], np.int64) // ids.width.itemsize, 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n)], names=["__name", "__block", "__place", "__n"])
+
+    return run
+
+
+def plan(docs: DataFrame, target: Target, tokens: Column | str, budget: int | None = None, seed: int = 5) -> tuple[DataFrame, DataFrame]:
     """(sources, rows): what each source gets; and docs with copies, block and place.
 
     sources: source, tokens, share, weight, quota, full (whole passes), cut (the last place of the part pass).
@@ -69,7 +87,11 @@ def plan(docs: DataFrame, target: Target, tokens: Column, budget: int | None = N
     shift = 63 - (BLOCKS.bit_length() - 1)
     rows = docs.withColumns({"__place": place, "__name": F.coalesce(F.col("source").cast("string"), F.lit(""))})
     rows = rows.withColumns({"__block": F.shiftright("__place", shift)})
-    light = rows.select("__name", "__block", "__place", tokens.alias("__n"))
+    if isinstance(tokens, str):  # counted once, since the numbers are read twice
+        texts = rows.select("__name", "__block", "__place", F.col("text").cast("string").alias("text"))
+        light = written(texts.mapInArrow(_counted(tokens), "__name string, __block long, __place long, __n long"), "light")
+    else:
+        light = rows.select("__name", "__block", "__place", tokens.alias("__n"))
     blocks = light.groupBy("__name", "__block").agg(F.sum("__n").alias("n"))
     blocks = written(blocks, "blocks")
     totals = blocks.groupBy("__name").agg(F.sum("n").alias("tokens"))
@@ -92,13 +114,14 @@ def plan(docs: DataFrame, target: Target, tokens: Column, budget: int | None = N
     return written(sources, "sources"), rows
 
 
-def copies(docs: DataFrame, target: Target, tokens: Column | None = None, budget: int | None = None, seed: int = 5) -> tuple[DataFrame, DataFrame]:
+def copies(docs: DataFrame, target: Target, tokens: Column | str | None = None, budget: int | None = None, seed: int = 5) -> tuple[DataFrame, DataFrame]:
     """(sources, rows): docs with __copies, how often the mixture has each row, and __block, __place, its permutation.
 
     Token shares of the sources are raised to an exponent, bisected to meet the target, and normalised; weights times
     the budget are the quotas. A quota takes whole passes over its source and then a part of one, in permuted order.
     Without a budget, the budget is the smallest that gives every source one whole pass, so no document is lost.
-    tokens: a positive number for each row, by default estimated_tokens. A null source is a source of its own, named
+    tokens: the path of a byte-level tokenizer file, which counts each text, or a positive number for each row; by default
+    estimated_tokens, which differs by language and kind of text. A null source is a source of its own, named
     empty. Null ids and texts are rows like others; rows that repeat id and text have one place and share their
     fate. An empty table gives no rows.
     """
@@ -108,7 +131,7 @@ def copies(docs: DataFrame, target: Target, tokens: Column | None = None, budget
     return sources, found.drop("__full", "__cut", "__name")
 
 
-def mixture(docs: DataFrame, target: Target, tokens: Column | None = None, budget: int | None = None, seed: int = 5) -> DataFrame:
+def mixture(docs: DataFrame, target: Target, tokens: Column | str | None = None, budget: int | None = None, seed: int = 5) -> DataFrame:
     """The rows of the mixture, with the columns of docs: each row as often as its copies say. See copies."""
     _, rows = copies(docs, target, tokens, budget, seed)
     return rows.filter("__copies > 0").withColumn("__pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(docs.columns)

@@ -72,7 +72,7 @@ def toxic_severity(table):
 
 @query("op8_source_mixing")
 def source_mixing(table):
-    _, rows = mixing.copies(table("documents"), mixing.Target(passes=1.25))
+    _, rows = mixing.copies(table("documents"), mixing.Target(passes=1.25), packing.vocabulary("byte_bpe_50k.json"))
     return rows.select("doc_id", "source", F.col("__weight").alias("weight"), F.col("__copies").alias("copies"),
                        F.col("__block").alias("block"), F.col("__place").alias("place"))
 

@@ -233,3 +233,26 @@ def test_all_links_equal_brute_force(spark, odd, empty):
     links = sorted((-1 if r.doc_id is None else r.doc_id, r.n_links) for r in jaccard.similar_sets(odd)[1].collect())
     assert links == [(-1, 0), (0, 2), (1, 2), (1, 2), (2, 0), (3, 0), (4, 0), (5, 0), (6, 1), (7, 1), (8, 0)]
     assert jaccard.similar_sets(empty)[1].count() == 0
+
+
+def test_registered_mixing_counts_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from ledgerline.llm import queries
+
+    path = packing.vocabulary("byte_bpe_50k.json")
+    texts = {"english": "the people of this country are going to the house ", "other": "żółć 日本語 🙂 ñandú §¶ ", None: "x  y <|endoftext|> "}
+    rows = [(i, texts[s] * (1 + i % 5), s) for i, s in enumerate([*["english"] * 60, *["other"] * 30, *[None] * 9])] + [(99, None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    library = Tokenizer.from_file(path)
+    tokens = {}
+    for _, text, source in rows:
+        tokens[source or ""] = tokens.get(source or "", 0) + max(1, len(library.encode(text or "", add_special_tokens=False).ids))
+    sources, mixed = mixing.copies(table, mixing.Target(passes=1.25), path)
+    assert {r.name: r.tokens for r in sources.collect()} == tokens
+    names = sorted(tokens)
+    counts = [float(tokens[n]) for n in names]
+    weights = dict(zip(names, mixing.tempered(counts, mixing.bisected(counts, mixing.Target(passes=1.25)))))
+    found = queries.QUERIES["op8_source_mixing"](spark, str(tmp_path)).collect()
+    assert len(found) == len(rows) and all(abs(r.weight - weights[r.source or ""]) < 1e-9 and r.copies >= 1 for r in found)
