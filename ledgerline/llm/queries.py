@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, jaccard, langid, mixing, neighbours, packing, pii, token_counts, topk, toxicity
+from ledgerline.llm import chat, filter_audit, jaccard, langid, mixing, neighbours, packing, pii, token_counts, topk, toxicity
 from ledgerline.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,31 @@ def chat_format(table):
 @query("op2_pii_spans")
 def pii_spans(table):
     return pii.spans(table("documents"))
+
+
+_WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+
+
+@query("op12_filter_audit", rf"""
+    WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+    first AS (SELECT text, min(doc_id) AS first_id FROM texts GROUP BY text),
+    marked AS (SELECT doc_id, part, map([{", ".join(f"'{f}'" for f in filter_audit.FILTERS)}],
+        [len({_WORDS}) < 200, 100 * len(list_distinct({_WORDS})) < 50 * len({_WORDS}),
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text), regexp_matches(text, '[#$%&*|]'), doc_id > first_id]) AS fails,
+        doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic
+      FROM texts JOIN first USING (text)),
+    letters AS (SELECT unnest(string_split('{",".join(filter_audit.FILTERS)}', ',')) AS x),
+    orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    steps AS (SELECT filter_order, unnest(range(1, 6))::INTEGER AS step FROM orders),
+    seen AS (SELECT part, filter_order, step, filter_order[step] AS filter, good, toxic, coalesce(fails[filter_order[step]], false) AS fails_it,
+        len(list_filter(string_split(filter_order[1:step - 1], ''), lambda x: coalesce(fails[x], false))) > 0 AS gone,
+        len(list_filter(map_values(fails), lambda v: coalesce(v, false))) = 1 AS once
+      FROM marked, steps),
+    counted AS (SELECT part, filter_order, step, filter, count(*) FILTER (NOT gone AND NOT fails_it) AS kept, count(*) FILTER (NOT gone AND fails_it) AS removed,
+        count(*) FILTER (gone AND fails_it) AS redundant, count(*) FILTER (fails_it AND once) AS unique_fails,
+        count(*) FILTER (NOT gone AND fails_it AND good) AS good_lost, count(*) FILTER (NOT gone AND fails_it AND toxic) AS toxic_lost
+      FROM seen GROUP BY ALL)
+    SELECT *, sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley FROM counted""")
+def audit_filters(table):
+    return filter_audit.audit(table("documents"), table("labels"))
