@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, filter_audit, jaccard, langid, mixing, neighbours, packing, pii, token_counts, topk, toxicity
+from ledgerline.llm import chat, filter_audit, jaccard, langid, merkle, mixing, neighbours, packing, pii, token_counts, topk, toxicity
 from ledgerline.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,45 @@ _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
     SELECT *, sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley FROM counted""")
 def audit_filters(table):
     return filter_audit.audit(table("documents"), table("labels"))
+
+
+def _hashed(*columns: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in columns) + ")"
+
+
+def _levels(name: str, nodes: str, count: int) -> str:
+    """CTEs name0 ... of a tree's levels: tree, p, n, h, and the siblings on the left and on the right (l, r)."""
+    beside = lambda rows: f"coalesce(string_agg(h, '') OVER (PARTITION BY tree, p // 16 ORDER BY p ROWS BETWEEN {rows}), '')"
+    made = f"SELECT *, {beside('UNBOUNDED PRECEDING AND 1 PRECEDING')} AS l, {beside('1 FOLLOWING AND UNBOUNDED FOLLOWING')} AS r"
+    up = "SELECT tree, p // 16 AS p, (n + 15) // 16 AS n, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY p)) ELSE any_value(h) END AS h FROM {} GROUP BY tree, p // 16, n"
+    return ", ".join([f"{name}0 AS ({made} FROM ({nodes}))"] + [f"{name}{k + 1} AS ({made} FROM ({up.format(name + str(k))}))" for k in range(count)])
+
+
+def _folded(own: str, levels: list[str]) -> str:
+    for t in levels:
+        own = f"(SELECT CASE WHEN {t}.n > 1 THEN sha256({t}.l || f || {t}.r) ELSE f END FROM (SELECT {own} AS f))"
+    return own
+
+
+_LOW, _TOP = [f"d{k}" for k in range(8)], [f"s{k}" for k in range(4)]  # trees of up to 16^8 documents and 16^4 sources
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
+@query("op11_merkle_manifest", f"""
+    WITH leaves AS (SELECT doc_id, coalesce('=' || source, '') AS tree, {_hashed("doc_id", "source", "lang", "n_chars", "text")} AS h,
+        CASE WHEN {_CRC} % 5 = 0 THEN {_hashed("doc_id", "source", "lang", "n_chars", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other
+      FROM documents),
+    placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS p, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+    {_levels("d", "SELECT tree, p, n, h FROM placed", len(_LOW))},
+    sources AS (SELECT tree AS name, '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS p, count(*) OVER () AS n, h FROM d{len(_LOW)}),
+    {_levels("s", "SELECT tree, p, n, h FROM sources", len(_TOP))},
+    whole AS (SELECT placed.doc_id, placed.h AS leaf, sources.h AS subroot, (SELECT h FROM s{len(_TOP)}) AS root,
+        sha256({" || ".join(f"CASE WHEN {t}.n > 1 THEN {t}.l || {t}.r ELSE '' END" for t in _LOW + _TOP)}) AS proof_sha256,
+        {_folded("coalesce(placed.other, placed.h)", _LOW + _TOP)} AS folded_root
+      FROM placed JOIN sources ON sources.name = placed.tree
+        {" ".join(f"JOIN {t} ON {t}.tree = placed.tree AND {t}.p = placed.p // {16 ** k}" for k, t in enumerate(_LOW))}
+        {" ".join(f"JOIN {t} ON {t}.p = sources.p // {16 ** k}" for k, t in enumerate(_TOP))})
+    SELECT *, folded_root = root AS verified FROM whole""")
+def merkle_manifest(table):
+    return merkle.audited(table("documents"))
