@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, filter_audit, jaccard, langid, merkle, mixing, neighbours, packing, pii, token_counts, topk, toxicity
+from ledgerline.llm import chat, filter_audit, jaccard, langid, merkle, mixing, neighbours, packing, pii, suffixes, token_counts, topk, toxicity
 from ledgerline.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,8 @@ _CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_tra
     SELECT *, folded_root = root AS verified FROM whole""")
 def merkle_manifest(table):
     return merkle.audited(table("documents"))
+
+
+@query("op13_suffix_dedup")
+def suffix_dedup(table):
+    return suffixes.deduped(table("documents"))
