@@ -86,7 +86,7 @@ def search(vectors: DataFrame, k: int, every: int, id_name: str = "vec_id", vect
             gap = np.maximum(np.maximum(low - target, target - high), 0)
             gap = np.einsum("ij,ij->i", gap, gap)
             near = np.argsort(gap, kind="stable")
-            ids, scores, done = np.zeros(0, np.int64), np.zeros(0), np.zeros(len(runs) - 1, bool)
+            ids, scores, far, done = np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.zeros(len(runs) - 1, bool)
             reach, taken = np.inf, 2
             while True:
                 chosen = near[: taken][~done[near[:taken]]]
@@ -98,13 +98,15 @@ def search(vectors: DataFrame, k: int, every: int, id_name: str = "vec_id", vect
                 at = at[at < len(cid)]
                 away = points[at] - target
                 away = np.einsum("ij,ij->i", away, away)
-                at = at[(away <= reach) & (cid[at] != qid[n])]
-                ids, scores = np.concatenate([ids, cid[at]]), np.concatenate([scores, x[at] @ own])
+                near_by = (away <= reach) & (cid[at] != qid[n])
+                at, away = at[near_by], away[near_by]
+                # Not by BLAS, where the last bit of a row's sum depends on its place: equal vectors must tie.
+                ids, scores, far = np.concatenate([ids, cid[at]]), np.concatenate([scores, (x[at] * own).sum(1)]), np.concatenate([far, away])
                 if len(ids) > k:
                     keep = first_k(np.zeros(len(ids), np.int64), ids, scores, k)
-                    ids, scores = ids[keep], scores[keep]
-                if len(ids) >= k:  # the k-th best bounds how far out a better one is projected
-                    reach = stop * max(most_now - 2 * scores[-1], 0.0)
+                    ids, scores, far = ids[keep], scores[keep], far[keep]
+                if len(ids) >= k:  # the k-th best bounds how far out a better one is projected; equals of those found stay in reach
+                    reach = max(stop * max(most_now - 2 * scores[-1], 0.0), far.max() * (1 + 1e-9))
                 taken = min(taken * 2, len(near)) if taken < len(near) else len(near) + 1
                 if taken > len(near):
                     break
