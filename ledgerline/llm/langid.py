@@ -24,9 +24,9 @@ _letters: list[np.ndarray] = []
 
 
 def _letter_table() -> np.ndarray:
-    """For each code point, whether it is a letter or a mark."""
+    """For each code point 2 for a letter, 1 for a mark, else 0."""
     if not _letters:
-        _letters.append(np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)]))
+        _letters.append(np.array([{"L": 2, "M": 1}.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)], np.int8))
     return _letters[0]
 
 
@@ -35,7 +35,9 @@ def letter_grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nd
     points = [np.frombuffer(f" {(t or '').lower()} ".encode("utf-32-le", "replace"), "<u4") for t in texts]
     flat = np.concatenate(points) if points else np.zeros(0, np.uint32)
     text = np.repeat(np.arange(len(points)), [len(p) for p in points])
-    letter = _letter_table()[flat]
+    kind = _letter_table()[flat]
+    base = np.maximum.accumulate(np.where(kind != 1, np.arange(len(flat)), 0))  # a mark belongs to what it stands on
+    letter = kind[base] == 2 if len(flat) else kind == 2
     keep = letter.copy()  # of a run of other characters one is kept, as a space
     keep[:-1] |= letter[1:]
     keep[1:] |= letter[:-1]
@@ -129,8 +131,12 @@ def fit(docs: DataFrame, sample: int = 4000, profile: int = 3000) -> Filters:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), i, np.int32)), pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
 
     counts = part.mapInArrow(run, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    best = counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= profile)
+    def first(rows: DataFrame, *by: Column) -> DataFrame:
+        order = Window.partitionBy(*by).orderBy(F.desc("n"), "gram")
+        return rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= profile).drop("place")
+
+    # All n-grams of a language are cut down in slices first, so that no task orders all of them.
+    best = first(first(counts, F.col("lang"), F.pmod("gram", F.lit(64))), F.col("lang"))
     return build(langs, [(r.lang, r.gram) for r in best.select("lang", "gram").collect()])
 
 
@@ -181,24 +187,28 @@ def least_known(scored: DataFrame, quantile: float = 0.01, margin: float = 0.4)
 def kept(docs: DataFrame, filters: Filters) -> DataFrame:
     """The rows of docs whose text is in a learned language that knows enough of its n-grams; see least_known.
 
-    Texts are scored once and written with their scores, since the threshold needs the scores of all labelled rows.
+    Texts are scored once and written with their scores, since the threshold needs the scores of all labelled rows. Null, empty
+    and letterless texts go. Where no row teaches a language there is nothing to judge by and all rows stay. Repeated rows
+    stay or go together; rows without doc_id are judged like others; other columns are kept, whatever their names; an
+    empty table gives no rows.
     """
+    if not filters.langs:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(filters)
-    names = [c for c in docs.columns if c != "text"]
-    rows = docs.select(*names, F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
+    schema = StructType([rows.schema["row"], StructField("lang", StringType()), StructField("known", DoubleType())])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(stream, 1 << 18):
-            langs, _, known = _scored(shared.value, batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(known)], names=[*batch.schema.names, "__lang", "__known"])
+            langs, _, known = _scored(shared.value, batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(known)], names=["row", "lang", "known"])
 
-    schema = StructType([*rows.schema.fields, StructField("__lang", StringType()), StructField("__known", DoubleType())])
     scored = written(rows.mapInArrow(run, schema), "scored")
-    least = least_known(scored.select("doc_id", "lang", F.col("__lang").alias("lang_pred"), F.col("__known").alias("known")))
+    least = least_known(scored.select("row.doc_id", "row.lang", F.col("lang").alias("lang_pred"), "known"))
     if not least:
-        return scored.select(docs.columns).limit(0)
+        return docs
     enough = F.create_map(*[F.lit(x) for lang, share in sorted(least.items()) for x in (lang, share)])
-    return scored.filter((F.col("__lang") != UNKNOWN) & (F.col("__known") >= enough[F.col("__lang")])).select(docs.columns)
+    return scored.filter((F.col("lang") != UNKNOWN) & (F.col("known") >= enough[F.col("lang")])).select("row.*")
 
 
 def identify(docs: DataFrame, sample: int = 4000, profile: int = 3000) -> DataFrame:
