@@ -75,7 +75,7 @@ def _counted(path: str):
 
 
 def plan(docs: DataFrame, target: Target, tokens: Column | str, budget: int | None = None, seed: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(sources, rows): what each source gets; and docs with copies, block and place.
+    """(sources, rows): what each source gets; and each row of docs, as a struct, with its source, block and place.
 
     sources: source, tokens, share, weight, quota, full (whole passes), cut (the last place of the part pass).
     The decision of a row needs its own hash and its source's row only: a source's documents are permuted by a hash of
@@ -85,13 +85,14 @@ def plan(docs: DataFrame, target: Target, tokens: Column | str, budget: int | No
     """
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), 1)
     shift = 63 - (BLOCKS.bit_length() - 1)
-    rows = docs.withColumns({"__place": place, "__name": F.coalesce(F.col("source").cast("string"), F.lit(""))})
-    rows = rows.withColumns({"__block": F.shiftright("__place", shift)})
+    count = tokens if isinstance(tokens, Column) else F.lit(None).cast("long")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), place.alias("__place"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("__name"), count.alias("__n"))
+    rows = rows.withColumn("__block", F.shiftright("__place", shift))
     if isinstance(tokens, str):  # counted once, since the numbers are read twice
-        texts = rows.select("__name", "__block", "__place", F.col("text").cast("string").alias("text"))
+        texts = rows.select("__name", "__block", "__place", F.col("row.text").cast("string").alias("text"))
         light = written(texts.mapInArrow(_counted(tokens), "__name string, __block long, __place long, __n long"), "light")
     else:
-        light = rows.select("__name", "__block", "__place", tokens.alias("__n"))
+        light = rows.select("__name", "__block", "__place", "__n")
     blocks = light.groupBy("__name", "__block").agg(F.sum("__n").alias("n"))
     blocks = written(blocks, "blocks")
     totals = blocks.groupBy("__name").agg(F.sum("n").alias("tokens"))
@@ -111,11 +112,11 @@ def plan(docs: DataFrame, target: Target, tokens: Column | str, budget: int | No
     last = inside.groupBy("__name").agg(F.max(F.when(F.col("run") <= F.col("rest"), F.col("__place"))).alias("last"), F.min("__block").alias("block"))
     last = last.select(F.col("__name").alias("name"), F.coalesce("last", F.shiftleft(F.col("block").cast("long"), shift) - 1).alias("cut"))
     sources = sources.join(last, "name", "left").withColumn("cut", F.coalesce("cut", F.lit(-1)))  # no cut block: nothing is left
-    return written(sources, "sources"), rows
+    return written(sources, "sources"), rows.drop("__n")
 
 
 def copies(docs: DataFrame, target: Target, tokens: Column | str | None = None, budget: int | None = None, seed: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(sources, rows): docs with __copies, how often the mixture has each row, and __block, __place, its permutation.
+    """(sources, rows): docs with __weight, __copies, how often the mixture has each row, and __block, __place, its permutation.
 
     Token shares of the sources are raised to an exponent, bisected to meet the target, and normalised; weights times
     the budget are the quotas. A quota takes whole passes over its source and then a part of one, in permuted order.
@@ -123,15 +124,25 @@ def copies(docs: DataFrame, target: Target, tokens: Column | str | None = None,
     tokens: the path of a byte-level tokenizer file, which counts each text, or a positive number for each row; by default
     estimated_tokens, which differs by language and kind of text. A null source is a source of its own, named
     empty. Null ids and texts are rows like others; rows that repeat id and text have one place and share their
-    fate. An empty table gives no rows.
+    fate. An empty table gives no rows. Columns of docs that are named like an added one give way to it.
     """
+    sources, found = _copied(docs, target, tokens, budget, seed)
+    own = [c for c in docs.columns if c not in _ADDED]
+    return sources, found.select(*[F.col("row")[c].alias(c) for c in own], *_ADDED)
+
+
+_ADDED = ["__weight", "__copies", "__block", "__place"]
+
+
+def _copied(docs: DataFrame, target: Target, tokens: Column | str | None, budget: int | None, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(sources, rows): the rows of docs as structs, with the columns that copies adds."""
     sources, rows = plan(docs, target, tokens if tokens is not None else estimated_tokens(F.col("text")), budget, seed)
     per = sources.select(F.col("name").alias("__name"), F.col("weight").alias("__weight"), F.col("full").alias("__full"), F.col("cut").alias("__cut"))
     found = rows.join(per, "__name").withColumn("__copies", F.col("__full") + (F.col("__place") <= F.col("__cut")).cast("long"))
-    return sources, found.drop("__full", "__cut", "__name")
+    return sources, found.select("row", *_ADDED)
 
 
 def mixture(docs: DataFrame, target: Target, tokens: Column | str | None = None, budget: int | None = None, seed: int = 5) -> DataFrame:
-    """The rows of the mixture, with the columns of docs: each row as often as its copies say. See copies."""
-    _, rows = copies(docs, target, tokens, budget, seed)
-    return rows.filter("__copies > 0").withColumn("__pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(docs.columns)
+    """The rows of the mixture, with the columns of docs, whatever their names: each row as often as its copies say. See copies."""
+    _, rows = _copied(docs, target, tokens, budget, seed)
+    return rows.filter("__copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select("row.*")
