@@ -112,9 +112,24 @@ def _number(begin: Column, end: Column, match: Column, piece: Column) -> Column:
     return F.struct(begin.alias("begin"), end.alias("end"), votes.alias("votes"), F.lit("").alias("shape"))
 
 
+def _setting(begin: Column, end: Column, match: Column, piece: Column) -> Column:
+    """Candidate value of a setting: labelers on the setting's name, mixed characters, quotes, ordinary word, place holder."""
+    value = F.regexp_extract(match, r"""[=:]\s*["']?([^\s"',;<>]+)$""", 1)
+    kinds = sum([value.rlike(c).cast("int") for c in ("[0-9]", "[A-Z]", "[a-z]", "[^A-Za-z0-9]")], F.lit(0))
+    votes = F.concat(
+        F.when(match.rlike("^(?i)(?:password|passwd|pwd|secret|api_?key|access_key)"), "1").otherwise("-"),
+        F.when(kinds >= 2, "1").otherwise("0"),
+        F.when(match.rlike(r"""[=:]\s*["'][^"']+$"""), "1").otherwise("-"),
+        F.when(value.rlike("^[A-Z]?[a-z]+[.!?]?$|^[A-Z]+$"), "0").otherwise("-"),
+        F.when(value.rlike(r"^(?:[*.x_-]+|(?i:none|null|true|false))$|^[${(\[]"), "0").otherwise("-"))
+    shape = F.concat(F.least(F.floor(F.length(value) / 4), F.lit(9)).cast("string"), kinds.cast("string"))
+    return F.struct((end - F.length(value)).alias("begin"), end.alias("end"), votes.alias("votes"), shape.alias("shape"))
+
+
 SECRET = r"(?:\G|(?<![A-Za-z0-9_+/-]))[A-Za-z0-9_+/-]{16,}+"
 NUMBER = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-MORE = ["secret", "number"]
+SETTING = r"""(?i)(?<![A-Za-z])(?:""" + "|".join(SETTINGS) + r""")["']?\s*+[=:]\s*+["']?[^\s"',;<>]{3,}"""
+MORE = ["secret", "setting", "number"]
 
 
 def candidates(text: Column) -> dict[str, Column]:
@@ -123,18 +138,25 @@ def candidates(text: Column) -> dict[str, Column]:
     some = lambda m: m.isNotNull()
     return {
         "secret": _scan(text, SECRET, _secret, some, CANDIDATE),
+        "setting": F.when(text.rlike("[=:]"), _scan(text, SETTING, _setting, some, CANDIDATE)).otherwise(none),
         "number": F.when(text.rlike("[0-9]-[0-9]"), _scan(text, NUMBER, _number, some, CANDIDATE)).otherwise(none),
     }
 
 
-def annotated(docs: DataFrame) -> DataFrame:
-    """docs with a column for each kind, named after it with `pii_` before: base spans, and candidates that meet no base span."""
-    out = docs.withColumn("pii_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+def annotated(docs: DataFrame, apart: bool = True) -> DataFrame:
+    """row, a struct of the columns of docs; pii_text; and a column for each kind, named after it with `pii_` before: spans and candidates.
+
+    Candidates for the value of a setting leave out those that are candidates of their own; apart: all leave out what meets a base span.
+    """
+    out = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("pii_text"))
     text = F.col("pii_text")
     out = out.withColumns({f"pii_{k}": v for k, v in {**base_spans(text), **candidates(text)}.items()})
-    base = F.concat(*[f"pii_{k}" for k in BASE])
-    apart = lambda c: ~F.exists(base, lambda b: (b["begin"] < c["end"]) & (c["begin"] < b["end"]))
-    return out.withColumns({f"pii_{k}": F.filter(f"pii_{k}", apart) for k in MORE})
+
+    def without(kind: str, others: Column) -> Column:
+        return F.filter(f"pii_{kind}", lambda c: ~F.exists(others, lambda b: (b["begin"] < c["end"]) & (c["begin"] < b["end"])))
+
+    out = out.withColumn("pii_setting", without("setting", F.col("pii_secret")))
+    return out.withColumns({f"pii_{k}": without(k, F.concat(*[f"pii_{k}" for k in BASE])) for k in MORE}) if apart else out
 
 
 def em(counts: dict[str, float], rounds: int = 50) -> tuple[dict[str, float], float]:
@@ -216,7 +238,7 @@ def _accepted(kind: str, weights: dict[str, float]) -> Column:
             if name:
                 column, i = ("votes", int(name[1])) if name[0] == "v" else ("shape", int(name[1]))
                 score = score + F.when(F.substring(c[column], i + 1, 1) == name[2:], w).otherwise(0.0)
-        return score > 0
+        return (score > 0) & c["votes"].contains("1")  # what no labeler is for is not taken
 
     return F.transform(F.filter(f"pii_{kind}", good), lambda c: F.struct(c["begin"], c["end"], F.lit(None).cast("string").alias("value")))
 
@@ -233,44 +255,45 @@ def _listed(kinds: list[str]) -> Column:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """Per row of docs: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret, n_number.
+    """Per row of docs: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret, n_setting, n_number.
 
     spans: kind:begin:end (code points, end exclusive) by kind as listed and then begin, comma-joined; base_sha256 is the digest
-    of such a list of the base kinds alone. The method adds kinds (secret, number); base spans stay. Null and empty texts have
+    of such a list of the base kinds alone. The method adds kinds (secret, setting, number); base spans stay. Null and empty texts have
     no spans; repeated rows keep their rows, a null doc_id stays null; an empty table gives no rows; other columns are ignored.
     """
     marked = annotated(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    marked = written(marked.drop("text", "pii_text"), "marked")
+    marked = written(marked.select("row.doc_id", *[f"pii_{k}" for k in BASE + MORE]), "marked")
     done = classified(marked, fit(marked))
     counts = [F.size(f"pii_{k}").cast("long").alias(f"n_{k}") for k in BASE + MORE]
     return done.select("doc_id", *counts[:4], F.sha2(_listed(BASE), 256).alias("base_sha256"), _listed(BASE + MORE).alias("spans"), *counts[4:])
 
 
 def masked(docs: DataFrame) -> DataFrame:
-    """docs with `<KIND>` in place of every span of their texts; of spans that overlap the first to begin is replaced.
+    """docs with `<KIND>` in place of every span of their texts; spans that overlap are replaced together, by the kind that begins first.
 
-    n_chars, where there is one, follows the new text. Null texts stay null; rows without spans are unchanged.
+    A candidate that the classifier takes is replaced whole, also where a base span lies within. n_chars, where there is one,
+    follows the new text. Null texts stay null; rows without spans are unchanged, repeated rows keep their rows; other columns
+    are kept, whatever their names; an empty table gives no rows. Texts are searched once and written with their spans.
     """
-    light = written(annotated(docs.select("text")).select(*[f"pii_{k}" for k in MORE]).filter(" OR ".join(f"size(pii_{k}) > 0" for k in MORE)), "votes")
-    done = classified(annotated(docs), fit(light))
+    marked = written(annotated(docs, apart=False).drop("pii_text"), "marked")
+    done = classified(marked, fit(marked))
 
     def named(kind: str) -> Column:
         return F.transform(f"pii_{kind}", lambda s: F.struct(s["begin"].alias("begin"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
-    done = done.withColumn("pii_all", F.sort_array(F.concat(*map(named, BASE + MORE))))
+    done = done.select("row", F.sort_array(F.concat(*map(named, BASE + MORE))).alias("all"))
+    old = F.col("row.text").cast("string")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(seen: Column, s: Column) -> Column:
         mark = F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        longer = F.concat(seen["out"], F.col("pii_text").substr(seen["at"] + 1, s["begin"] - seen["at"]), mark)
+        longer = F.concat(seen["out"], old.substr(seen["at"] + 1, s["begin"] - seen["at"]), mark)
         over = s["begin"] < seen["at"]
         return F.struct(F.when(over, F.greatest(seen["at"], s["end"])).otherwise(s["end"]).alias("at"), F.when(over, seen["out"]).otherwise(longer).alias("out"))
 
-    rest = F.aggregate("pii_all", start, step)
-    done = done.withColumn("pii_done", F.when(F.size("pii_all") > 0, rest))
-    text = F.when(F.col("pii_done").isNull(), F.col("text")).otherwise(
-        F.concat("pii_done.out", F.col("pii_text").substr(F.col("pii_done.at") + 1, F.length("pii_text"))))
+    done = done.select("row", F.when(F.size("all") > 0, F.aggregate("all", start, step)).alias("done"))
+    text = F.when(F.col("done").isNull(), F.col("row.text")).otherwise(F.concat("done.out", old.substr(F.col("done.at") + 1, F.length(old))))
     changed = {"text": text}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("pii_done").isNull(), F.col("n_chars")).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType))
-    return done.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+        changed["n_chars"] = F.when(F.col("done").isNull(), F.col("row.n_chars")).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType))
+    return done.select(*[changed[c].alias(c) if c in changed else F.col("row")[c].alias(c) for c in docs.columns])
