@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.shingles import Words, batches
+from ledgerline.llm.store import small, written
 
 BITS = 40  # of a hashed feature
 STEMS = (4, 5, 6)  # bytes of a word's beginning that are features besides the whole word
@@ -109,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> Model:
         "doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
     rate = F.when(F.col("toxic") == 1, min(1.0, sample / max(sizes.get(1, 0), 1))).otherwise(min(1.0, sample / max(sizes.get(0, 0), 1)))
-    marks = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < rate * (1 << 30))
+    marks = small(written(marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < rate * (1 << 30)), "marks"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(marks, "doc_id").select("toxic", "text")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
