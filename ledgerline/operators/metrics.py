@@ -14,30 +14,49 @@ COALESCED = "coalesced"  # as above, but a group of missing metrics only has tot
 ALL_ROWS = "all-rows"    # it is a transaction worth 0: part of count and mean
 
 
-def minor_units(value: Column, scale: int | None) -> Column:
-    """A value that can be summed without rounding: a decimal of `scale` digits, or the double itself without a scale.
+#: Bits of the lower limb of a total: its sum holds for 2^43 rows, that of the upper limb up to totals of 2^83 units.
+_LIMB = 20
+_TOTAL = "_total"
 
-    A value with more digits than that is refused. Sums of decimals are ten digits wider, so they hold beyond 64 bits.
+
+def total_parts(value: Column, scale: int | None) -> dict[str, Column]:
+    """Additive parts of an exact total: they can be summed again at any later step, and `total_of` puts them together.
+
+    A value counts as whole units of `scale` decimals. Units are summed as two 64-bit limbs, which is exact in any
+    order and beyond 64 bits without the cost of decimals; values with more decimals than that are counted, and refused
+    in the end. Without a scale the total is a plain sum of doubles.
     """
     if scale is None:
-        return value.cast("double")
-    exact = value.cast(f"decimal(18,{scale})")
-    more = F.concat(F.lit(f"more than {scale} decimals: "), value.cast("string"))
-    return F.when(exact.cast("double") != value.cast("double"), F.raise_error(more).cast(f"decimal(18,{scale})")).otherwise(exact)
+        return {_TOTAL: F.sum(value.cast("double"))}
+    unit = 10**scale
+    whole = F.floor(value).cast("bigint")
+    units = whole * F.lit(unit).cast("bigint") + F.floor((value - whole) * F.lit(float(unit)) + F.lit(0.5))
+    # From 2^53 units on, doubles lie further apart than units.
+    rounded = (F.abs(units) < 2**53) & (units.cast("double") / F.lit(float(unit)) != value.cast("double"))
+    return {f"{_TOTAL}_high": F.sum(F.shiftright(units, _LIMB)), f"{_TOTAL}_low": F.sum(units.bitwiseAND(2**_LIMB - 1)),
+            f"{_TOTAL}_refused": F.count_if(rounded)}
+
+
+def total_of(scale: int | None, parts: dict[str, Column] | None = None) -> Column:
+    """The total as a double, null if there is no value; the parts are columns of these names unless given."""
+    part = lambda name: (parts or {}).get(name, F.col(name))
+    if scale is None:
+        return part(_TOTAL)
+    high, low, refused = (part(f"{_TOTAL}_{end}") for end in ("high", "low", "refused"))
+    units = high.cast("decimal(28,0)") * F.lit(2**_LIMB).cast("decimal(8,0)") + low.cast("decimal(20,0)")
+    exact = F.concat(units.cast("string"), F.lit(f"E-{scale}")).cast("double")  # rounded once, at the end
+    said = F.concat(refused.cast("string"), F.lit(f" values have more than {scale} decimals"))
+    return F.when(refused > 0, F.raise_error(said).cast("double")).otherwise(exact)
 
 
 def partial_sums(metric: Column, scale: int | None) -> dict[str, Column]:
     """Additive parts of all three definitions; they can be summed again at any later step."""
-    return {
-        "_rows": F.count(F.lit(1)),
-        "_values": F.count(metric),
-        "_total": F.sum(minor_units(metric, scale)),
-    }
+    return {"_rows": F.count(F.lit(1)), "_values": F.count(metric), **total_parts(metric, scale)}
 
 
 def finish(parts: DataFrame, key: str, definition: str, scale: int | None) -> DataFrame:
     """(key, txn_count, score_total, score_mean) from the additive parts."""
-    total = F.coalesce(F.col("_total").cast("double"), F.lit(0.0))
+    total = F.coalesce(total_of(scale), F.lit(0.0))
     count = F.col("_rows" if definition == ALL_ROWS else "_values")
     mean = F.when(count > 0, total / count)
     if definition == NON_NULL:
@@ -103,7 +122,7 @@ def top_groups(result: DataFrame, key: str, n: int, total: str = "score_total")
 
 def table_summary(rows: DataFrame, value: str, scale: int | None = None) -> DataFrame:
     """Row count and total of a whole table."""
-    total = F.sum(minor_units(F.col(value), scale)).cast("double")
+    total = total_of(scale, total_parts(F.col(value), scale))
     return rows.agg(F.count(F.lit(1)).alias("events"), F.coalesce(total, F.lit(0.0)).alias("revenue_total"))
 
 
@@ -113,8 +132,8 @@ def mechanism_breakdown(events: DataFrame, hops: list[Hop], metric: str, submitt
 
     The mechanism needs metric, day and end of one event together, so events are joined row by row and summed after.
     """
-    sums = {"events": F.count(F.lit(1)), "_total": F.sum(minor_units(F.col(metric), scale))}
+    sums = {"events": F.count(F.lit(1)), **total_parts(F.col(metric), scale)}
     rows, sums = walk(events, hops, sums, [metric, submitted, ended])
     label = mechanism(F.col(metric), F.col(submitted), F.col(ended)).alias("mechanism")
-    total = F.coalesce(sums["_total"].cast("double"), F.lit(0.0))
+    total = F.coalesce(total_of(scale, sums), F.lit(0.0))
     return rows.groupBy(label).agg(sums["events"].alias("events"), total.alias("revenue_proxy"))

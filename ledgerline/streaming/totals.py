@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.joins import Hop
-from ledgerline.operators.metrics import NON_NULL, finish, minor_units, partial_sums, roll_up
+from ledgerline.operators.metrics import NON_NULL, finish, partial_sums, roll_up, total_of, total_parts
 from ledgerline.session import work_dir
 
 
@@ -55,7 +55,7 @@ def running_totals(events: DataFrame, key: str, metric: str, scale: int | None =
 
     Spark aggregates within every task before the shuffle, so a hot key adds one row per task and batch.
     """
-    total = F.sum(minor_units(F.col(metric), scale)).cast("double")
+    total = total_of(scale, total_parts(F.col(metric), scale))
     return events.filter(F.col(key).isNotNull()).groupBy(key).agg(
         F.count(metric).alias("txn_count"), F.coalesce(total, F.lit(0.0)).alias("score_total"))
 
@@ -88,8 +88,6 @@ def increments(events: DataFrame, hops: list[Hop], key: str, metric: str, target
 
     def write_batch(batch_events: DataFrame, batch: int) -> None:
         parts = roll_up(batch_events, hops, [key], partial_sums(F.col(metric), scale))
-        if scale is not None:  # as totals_of reads it, however many hops have widened it
-            parts = parts.withColumn("_total", F.col("_total").cast(f"decimal(38,{scale})"))
         parts.write.mode("overwrite").parquet(f"{target}/batch={batch}")
 
     run_available(events, checkpoint, "append", write_batch)
@@ -98,9 +96,10 @@ def increments(events: DataFrame, hops: list[Hop], key: str, metric: str, target
 def totals_of(spark: SparkSession, target: str, key: str, scale: int | None = None,
               definition: str = NON_NULL) -> DataFrame:
     """The totals so far: the sum of all stored increments."""
-    kind = "double" if scale is None else f"decimal(38,{scale})"
-    stored = stored_batches(spark, target, f"{key} string, _rows bigint, _values bigint, _total {kind}")
-    merged = stored.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("_rows", "_values", "_total")])
+    parts = list(partial_sums(F.lit(None).cast("double"), scale))
+    kinds = ", ".join(f"{c} {'double' if scale is None and c not in ('_rows', '_values') else 'bigint'}" for c in parts)
+    stored = stored_batches(spark, target, f"{key} string, {kinds}")
+    merged = stored.groupBy(key).agg(*[F.sum(c).alias(c) for c in parts])
     return finish(merged, key, definition, scale)
 
 
