@@ -12,7 +12,7 @@ from ledgerline.operators.profile import joined_value_counts
 from ledgerline.plans.joining import CREDIT_SQL, credit_path
 from ledgerline.plans.metrics import COUNTS_SQL, keyed_sql, nation_counts
 from ledgerline.plans.registry import query
-from ledgerline.plans.tables import LINES_SQL, STAR_SQL, all_parents, catalog, lines, table, to_nation
+from ledgerline.plans.tables import LINES_SQL, STAR_SQL, all_parents, catalog, lines, table, to_nation, to_region
 
 TABLE_NAMES = ["lineitem", "orders", "customer", "nation", "region", "part"]
 COLUMNS = {t: [c.split()[0] for c in catalog("").tables[t].schema.split(", ")] for t in TABLE_NAMES}
@@ -67,9 +67,8 @@ def k1_lossy(spark, root):
 
 @query("k2_owning_sources", f"SELECT column_name, source FROM ({CANDIDATES_SQL})")
 def k2(spark, root):
-    # Names are metadata: no row is read for them. Only columns that have a value are candidates.
-    names = p.column_origins(spark, JOINED_COLUMNS, COLUMNS)
-    return names.filter(F.lit(not lines(spark, root).isEmpty()))
+    joined = checked_join(lines(spark, root), all_parents(spark, root), validate=False)
+    return p.owning_sources(joined.select(JOINED_COLUMNS), COLUMNS)
 
 
 @query("k3_key_survival", f"""SELECT 'n_name' AS key, 'nation' AS origin, true AS in_join,
@@ -174,3 +173,33 @@ def k7(spark, root):
   arg_max(skew_ratio, setting) > arg_min(skew_ratio, setting) AS worsens FROM balance""")
 def k8(spark, root):
     return p.skew_trend(p.partition_balance(p.predicted_partitions(nation_counts(spark, root))))
+
+
+def balanced_sql(counts: str, tolerance: float = 0.1) -> str:
+    """Largest first into the emptiest bucket, step by step: the key in turn, what is left of it, and the loads so far."""
+    return f"""WITH RECURSIVE keys AS MATERIALIZED (SELECT n, row_number() OVER (ORDER BY n DESC, value) AS place FROM ({counts})),
+  facts AS (SELECT setting, sum(n) / setting AS even FROM keys, (SELECT unnest([2, 4, 8]) AS setting) GROUP BY setting),
+  steps AS (
+    SELECT setting, even, 1::BIGINT AS place, (SELECT n FROM keys WHERE place = 1)::BIGINT AS rest,
+      list_transform(range(setting), lambda i: 0::BIGINT) AS loads, 0::BIGINT AS puts, 0::BIGINT AS split_keys FROM facts
+    UNION ALL
+    SELECT setting, even, CASE WHEN rest = put THEN place + 1 ELSE place END,
+      CASE WHEN rest = put THEN coalesce((SELECT n FROM keys k WHERE k.place = moved.place + 1), 0) ELSE rest - put END::BIGINT,
+      list_transform(range(setting), lambda i: loads[i + 1] + CASE WHEN i + 1 = list_position(loads, list_min(loads)) THEN put ELSE 0 END),
+      CASE WHEN rest = put THEN 0 ELSE puts + 1 END, split_keys + CASE WHEN rest <> put AND puts = 0 THEN 1 ELSE 0 END
+    FROM (SELECT *, CASE WHEN list_min(loads) + rest <= even * (1 + {tolerance}) THEN rest
+        ELSE least(rest, ceil(even)::BIGINT - list_min(loads)) END::BIGINT AS put FROM steps WHERE rest > 0) moved)
+  SELECT setting, list_min(loads) AS min_records, list_max(loads) AS max_records,
+    CAST(printf('%.2f', list_max(loads) / even) AS DOUBLE) AS worst_vs_even, split_keys FROM steps WHERE rest = 0"""
+
+
+@query("k8_balanced_buckets", balanced_sql(f"SELECT value, n FROM {COUNTS_SQL}"))
+def k8_balanced(spark, root):
+    return p.bucket_balance(nation_counts(spark, root))
+
+
+# Few keys, most of them above the even share: all of these are split.
+@query("k8_balanced_regions", balanced_sql(f"SELECT r_name AS value, count(*) AS n FROM {STAR_SQL} GROUP BY r_name"))
+def k8_regions(spark, root):
+    rows, sums = walk(lines(spark, root), to_region(spark, root), {"n": F.count(F.lit(1))}, ["r_name"])
+    return p.bucket_balance(rows.groupBy(F.col("r_name").alias("value")).agg(sums["n"].alias("n")))
