@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ledgerline.functions.scalars import cents
@@ -49,6 +52,53 @@ def ordered(rows: DataFrame, order: list[str], limit: int | None = None) -> Data
     return result if limit is None else result.limit(limit)
 
 
+@dataclass(frozen=True)
+class Cursor:
+    """Where a page ended: the values of the order's keys in its last row, and how many rows with just these were served."""
+
+    values: tuple
+    served: int
+
+
+def _after(order: list[str], values: tuple) -> Column:
+    """Rows at or behind a place in the order, missing values last. Its first part can be pushed down to the scan."""
+    first, value = F.col(order[0]), values[0]
+    here = first.isNull() if value is None else first == F.lit(value)
+    if len(order) > 1:
+        here = here & _after(order[1:], values[1:])
+    if value is None:
+        return here
+    behind = first > F.lit(value)
+    return ((first >= F.lit(value)) | first.isNull()) & (behind | first.isNull() | here)
+
+
+def page(rows: DataFrame, order: list[str], size: int, cursor: Cursor | None = None) -> DataFrame:
+    """The next rows in an order, missing values last: at most `size`, and those at the cursor that were served again before them.
+
+    A page is a top-n selection of the rows behind the cursor; nothing is sorted as a whole.
+    """
+    if cursor is not None:
+        rows = rows.filter(_after(order, cursor.values))
+    return ordered(rows, order, size + (cursor.served if cursor else 0))
+
+
+def pages(rows: DataFrame, order: list[str], size: int, cursor: Cursor | None = None) -> Iterator[tuple[list[Row], Cursor]]:
+    """Pages of `size` rows and the cursor after each, from which another call goes on. The driver holds one page.
+
+    The other columns break ties, so that only equal rows can tie, and these are counted by the cursor.
+    """
+    total = [*order, *[c for c in rows.columns if c not in order]]
+    while True:
+        served = cursor.served if cursor else 0
+        found = list(page(rows, total, size, cursor).toLocalIterator())
+        own = found[served:]
+        if not own:
+            return
+        last = tuple(own[-1][c] for c in total)
+        cursor = Cursor(last, sum(tuple(r[c] for c in total) == last for r in found))
+        yield own, cursor
+
+
 def transactions(events: DataFrame, customers: Hop, definitions: Hop | None, order: list[str],
                  customer_id=None, region: str | None = None, region_column: str = "region",
                  limit: int | None = None) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerline.operators.joins import Hop
-from ledgerline.operators.lookups import ordered
+from ledgerline.operators.lookups import ordered, page, pages
 from ledgerline.operators.metrics import ALL_ROWS, group_metric, service_names
 from ledgerline.plans.metrics import SERVICE, keyed_sql
 from ledgerline.plans.registry import query
 from ledgerline.plans.tables import catalog, lines, score, table, to_region
 from ledgerline.session import work_dir
-from ledgerline.sources.files import write_compact_json
+from ledgerline.sources.files import write_stream
 from ledgerline.streaming import totals
 
 
@@ -56,13 +58,32 @@ def z3_types(spark, root):
                                 work_dir(spark, "checkpoint"), scale=2)
 
 
+# Every event is delivered twice, in two files.
+@query("z3_redelivered_types", """SELECT event_type, count("value") AS txn_count,
+  CAST(coalesce(sum(CAST("value" AS DECIMAL(18, 2))), 0) AS DOUBLE) AS score_total FROM events GROUP BY event_type""")
+def z3_redelivered(spark, root):
+    inbox = work_dir(spark, "inbox")
+    for delivery in (1, 2):
+        table(spark, root, "events").coalesce(1).write.parquet(f"{inbox}/delivery={delivery}")
+    arrived = totals.stream_files(spark, f"{inbox}/*", catalog(root).tables["events"].schema, files_per_batch=1)
+    events = totals.once(arrived, "event_id", "ts", "60 days")
+    return totals.streamed_revenue(events, [], "event_type", "value", scale=2).drop("score_mean")
+
+
+# The second page of the transactions, resumed from the place where the first one ended.
+@query("z1_second_page", """SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+  ORDER BY o_orderdate, o_custkey, o_orderkey LIMIT 500 OFFSET 500""")
+def z1_page(spark, root):
+    rows = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    order = ["o_orderdate", "o_custkey", "o_orderkey"]
+    _, cursor = next(pages(rows, order, 500))
+    served = F.col("o_orderkey") == cursor.values[2]  # the order is unique here: the row at the cursor
+    return page(rows, order, 500, cursor).filter(~served)
+
+
 @query("io10_row_stream_sink", """SELECT event_id, user_id, event_type, "value" FROM events""")
 def io10(spark, root):
     target = work_dir(spark, "rows")
-
-    def write_batch(rows, batch):
-        write_compact_json(rows.select("event_id", "user_id", "event_type", "value"), f"{target}/batch={batch}")
-
-    totals.run_available(stream(spark, root, "events"), work_dir(spark, "checkpoint"), "append", write_batch)
-    return spark.read.schema("event_id bigint, user_id bigint, event_type string, value double").json(
-        f"{target}/batch=*")
+    rows = stream(spark, root, "events").select("event_id", "user_id", "event_type", "value")
+    write_stream(rows, target, work_dir(spark, "checkpoint"))
+    return spark.read.schema("event_id bigint, user_id bigint, event_type string, value double").json(target)

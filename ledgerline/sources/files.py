@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.functions.scalars import clean_names, formatted, json_row
 from ledgerline.operators.typing import conform, infer_types
+from ledgerline.session import work_dir
 
 # The texts that a delimited file may hold for a missing value.
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
@@ -80,18 +85,72 @@ def load_result(spark: SparkSession, path: str, key: str = "region", format: str
     )
 
 
+def write_stream(rows: DataFrame, path: str, checkpoint: str) -> None:
+    """All rows that have arrived, as JSON lines with nulls kept. The sink logs what it has committed, so a restart repeats nothing."""
+    writer = rows.writeStream.format("json").option("ignoreNullFields", False).option("path", path)
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+class VersionedTable:
+    """A table whose every load is a folder of its own; a list of commits says which one is in force.
+
+    A line of the list names a folder and is written once the folder is whole. Readers take the last line, so they see the
+    old table or the new one, never a part and never none.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def versions(self) -> DataFrame:
+        """(version, folder, row_count, schema) of all loads that were committed."""
+        schema = "version bigint, folder string, row_count bigint, schema string"
+        try:
+            return self.spark.read.schema(schema).json(f"{self.path}/commits")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def current(self):
+        return self.versions().orderBy(F.desc("version"), "folder").first()
+
+    def read(self) -> DataFrame:
+        """The table in force; an error if nothing was ever loaded."""
+        now = self.current()
+        if now is None:
+            raise ValueError(f"nothing was loaded into {self.path}")
+        return self.spark.read.schema(StructType.fromJson(json.loads(now.schema))).parquet(f"{self.path}/{now.folder}")
+
+    def store(self, rows: DataFrame) -> tuple[str, int]:
+        """(folder, rows) of a version that is not in force yet. Rows are counted as they are written."""
+        folder = f"data-{uuid.uuid4().hex}"
+        seen = Observation()
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.path}/{folder}")
+        return folder, seen.get["n"]
+
+    def replace(self, rows: DataFrame) -> int:
+        """Put other rows in force; returns how many."""
+        folder, n = self.store(rows)
+        now = self.current()
+        line = [(now.version + 1 if now else 1, folder, n, rows.schema.json())]
+        lines = self.spark.createDataFrame(line, "version bigint, folder string, row_count bigint, schema string")
+        lines.coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        return n
+
+
 def load_table(spark: SparkSession, csv_path: str, table: str, table_path: str | None = None) -> int:
     """Load a delimited file into a typed table, replacing it; returns the number of rows.
 
-    Names are cleaned, types inferred from all rows, and values conformed. The types are one short row per column.
+    Names are cleaned, types inferred from all rows, and values conformed. The file is parsed once, into a table of texts; types and
+    values are taken from that. The table is a view of the version in force below `table_path`, a new folder unless given.
     """
-    rows = read_text_columns(spark, csv_path)
-    types = {r.column_name: r.inferred_type for r in infer_types(rows).collect()}
-    # Written under another name first: a failed write leaves the old table as it is.
-    fresh = f"{table}_loading"
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    writer = conform(rows, types).write.mode("overwrite").format("parquet")
-    (writer.option("path", table_path) if table_path else writer).saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    return spark.table(table).count()
+    table_path = table_path or work_dir(spark, "table")
+    texts = f"{table_path.rstrip('/')}/texts-{uuid.uuid4().hex}"
+    parsed = read_text_columns(spark, csv_path)
+    parsed.write.parquet(texts)
+    rows = spark.read.schema(parsed.schema).parquet(texts)
+    types = {r.column_name: r.inferred_type for r in infer_types(rows).collect()}  # one row a column
+    stored = VersionedTable(spark, table_path)
+    n = stored.replace(conform(rows, types))
+    stored.read().createOrReplaceTempView(table)
+    return n

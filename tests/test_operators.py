@@ -419,3 +419,25 @@ def test_value_counts_of_joins_that_lose_events(spark):
     hops = [Hop(orders, "order", "o", "orders"), Hop(customers, "customer", "c", "customers")]
     found = profile.frequency_summary(profile.joined_value_counts(events, hops)).collect()
     assert {r.column_name: (r.row_count, r.distinct_count) for r in found} == {"order": (2, 1), "kind": (2, 2), "customer": (2, 1), "name": (2, 1)}
+
+
+def test_buckets_by_volume(spark):
+    from ledgerline.operators import partitioning as p
+
+    rng = __import__("random").Random(5)
+    for volumes, n in (([12000] * 5, 8), ([100, 1, 1, 1], 4), ([rng.randint(1, 500) for _ in range(300)], 7), ([5], 3), ([], 2)):
+        placed = p.packed(volumes, n, 0.1)
+        for item, volume in enumerate(volumes):
+            assert sum(r for i, _, r in placed if i == item) == volume
+        loads = [sum(r for _, b, r in placed if b == bucket) for bucket in range(n)]
+        assert max(loads) <= max(1.1 * sum(volumes) / n, -(-sum(volumes) // n))
+    hot = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 700)).alias("k"))
+    counts = p.key_counts(hot, "k")
+    for heavy in (4096, 20):  # with 20, most keys share hashed groups
+        buckets = p.balanced_buckets(counts, 8, heavy=heavy, groups=64)
+        assert max(buckets.loads()) <= 1.1 * counts.agg(F.sum("n")).first()[0] / 8 and buckets.split_keys() >= 1
+        placed = p.into_buckets(hot, "k", buckets).withColumn("at", F.spark_partition_id())
+        sizes = {r.at: r["count"] for r in placed.groupBy("at").count().collect()}
+        assert len(sizes) == 8 and max(sizes.values()) <= 1.15 * 5000
+        assert placed.groupBy("bucket").agg(F.count_distinct("at").alias("n")).agg(F.max("n")).first()[0] == 1
+        assert sorted(map(tuple, p.balanced_counts(hot, "k", buckets).collect())) == sorted(map(tuple, counts.collect()))
