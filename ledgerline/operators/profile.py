@@ -134,6 +134,37 @@ def column_profile(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+#: A column is no key if its sketch sees fewer distinct values than this share of the rows: over ten standard errors off.
+_FAR_FROM_UNIQUE = 0.8
+
+
+def possible_keys(tables: dict[str, DataFrame]) -> dict[str, list[str]]:
+    """The columns of every table without nulls whose distinct values, by a sketch, may be as many as the rows.
+
+    Sketches of a few kilobytes per column are merged instead of values; one row per table reaches the driver.
+    """
+    found = {}
+    for name, rows in tables.items():
+        types = {f.name: f.dataType for f in rows.schema.fields}
+        sketches = [F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(_comparable(c, types[c])), F.lit(12))).alias(f"d{i}") for i, c in enumerate(rows.columns)]
+        present = [F.count(f"`{c}`").alias(f"n{i}") for i, c in enumerate(rows.columns)]
+        row = rows.agg(F.count(F.lit(1)).alias("all"), *present, *sketches).first()
+        found[name] = [c for i, c in enumerate(rows.columns) if row[f"n{i}"] == row["all"] and (row[f"d{i}"] or 0) >= _FAR_FROM_UNIQUE * row["all"]]
+    return found
+
+
+def candidate_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name) of the columns without nulls whose values are all different.
+
+    Only the columns that sketches leave are counted exactly, so that no values of others are shuffled.
+    """
+    left = possible_keys(tables)
+    narrow = {name: rows.select(*[f"`{c}`" for c in left[name]]) for name, rows in tables.items() if left[name]}
+    if not narrow:
+        return next(iter(tables.values())).sparkSession.createDataFrame([], "table_name string, column_name string")
+    return column_profile(narrow).filter("is_candidate_key").select("table_name", "column_name")
+
+
 def table_profile(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """One row per table: role, rows, number and names of the columns. `tables` maps name -> (rows, role)."""
     return union([

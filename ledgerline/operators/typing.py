@@ -37,7 +37,7 @@ def _long(rows: DataFrame, names: list[str]) -> DataFrame:
 
 
 def infer_types(rows: DataFrame) -> DataFrame:
-    """(column_name, inferred_type): one aggregate over all rows, however many columns there are.
+    """(column_name, inferred_type): aggregates over all rows, of a few columns each.
 
     Typed columns keep their kind. Text is numeric only if every value is, and whole only if every value is.
     """
@@ -50,26 +50,31 @@ def infer_types(rows: DataFrame) -> DataFrame:
                     DOUBLE if isinstance(field.dataType, T.FractionalType) else TEXT)
             known.append((field.name, kind))
     result = rows.sparkSession.createDataFrame(known, "column_name string, inferred_type string")
-    if texts:
-        value = F.col("value")
-        # A bit set of what values there are: 1 true or false, 2 whole, 4 fractional, 8 other text.
-        what = (
-            F.when(value.isNull(), 0)
-            .when(value.rlike(_WHOLE), 2)
-            .when(value.rlike(_NUMBER), F.when(value.try_cast("double") % 1 == 0, 2).otherwise(4))
-            .when(_logical(value), 1)
-            .otherwise(8)
-        )
-        seen = _long(rows, texts).groupBy("position").agg(F.bit_or(what).alias("seen"))
+    for at in range(0, len(texts), _AT_ONCE):
+        part = texts[at : at + _AT_ONCE]
+        seen = rows.agg(*[F.bit_or(_what(F.col(f"`{c}`"))).alias(str(i)) for i, c in enumerate(part)])
         kind = F.when(F.col("seen") == 1, BOOLEAN).when(F.col("seen") == 2, BIGINT).when(
-            F.col("seen").isin(4, 6), DOUBLE).otherwise(TEXT)
-        # Without any row there is nothing to see, and the column is text.
-        every = rows.sparkSession.range(len(texts)).select(F.col("id").cast("int").alias("position"))
-        seen = every.join(seen, "position", "left")
-        result = result.unionByName(seen.select(_named(F.col("position"), texts), kind.alias("inferred_type")))
+            F.col("seen").isin(4, 6), DOUBLE).otherwise(TEXT)  # without any row there is nothing to see, and the column is text
+        long = seen.unpivot([], seen.columns, "position", "seen")
+        result = result.unionByName(long.select(_named(F.col("position").cast("int"), part), kind.alias("inferred_type")))
     return result
 
 
+#: Columns of one aggregate: more would outgrow what the compiler takes.
+_AT_ONCE = 8
+
+
+def _what(value: Column) -> Column:
+    """A bit for the kind of a value: 1 true or false, 2 whole, 4 fractional, 8 other text; 0 for a null."""
+    return (
+        F.when(value.isNull(), 0)
+        .when(value.rlike(_WHOLE), 2)
+        .when(value.rlike(_NUMBER), F.when(value.try_cast("double") % 1 == 0, 2).otherwise(4))
+        .when(_logical(value), 1)
+        .otherwise(8)
+    )
+
+
 def conformed(text: Column, kind: str) -> Column:
     """A text value in the chosen type; whole numbers are rounded, ties to even. What does not fit becomes null."""
     if kind == BIGINT:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.operators.joins import Hop, walk
-from ledgerline.operators.metrics import group_metric
+from ledgerline.operators.metrics import NON_NULL, finish, partial_sums
+from ledgerline.operators.partitioning import bounded
 from ledgerline.operators.profile import orphans, union
 
 TOLERANCE = 1e-6
@@ -134,12 +134,55 @@ def require_lossless(events: DataFrame, hops: list[Hop]) -> None:
         raise ValueError(f"the join changed the row count: {row.rows_before} -> {row.rows_after}")
 
 
-def same_answer(events: DataFrame, key: str, metric: str, hops: list[Hop], scale: int | None,
-                settings: tuple[int, ...] = (2, 4, 8)) -> DataFrame:
-    """One row per partition setting: does the bounded aggregation give the result of the plain one?"""
-    plain = group_metric(events, key, metric, hops=hops, scale=scale)
-    reports = [
-        compare_results(group_metric(events, key, metric, hops=hops, scale=scale, partitions=n), plain, key)
-        .withColumn("setting", F.lit(n)) for n in settings
-    ]
-    return reduce(DataFrame.unionByName, reports)
+def results_by_setting(events: DataFrame, key: str, metric: str, hops: list[Hop], scale: int | None,
+                       settings: tuple[int, ...] = (2, 4, 8)) -> DataFrame:
+    """The keyed result of every partition setting, setting 0 being the plain aggregation, in one long table.
+
+    Events are joined and summed per key and task once; every setting merges the same partial sums, whose shuffle Spark reuses.
+    """
+    rows, sums = walk(events, hops, partial_sums(F.col(metric), scale), [key])
+    parts = rows.groupBy(key, F.spark_partition_id().alias("_task")).agg(*[total.alias(name) for name, total in sums.items()])
+    merge = [F.sum(name).alias(name) for name in sums]
+    results = [finish((bounded(parts, n, key) if n else parts).groupBy(key).agg(*merge), key, NON_NULL, scale)
+               .withColumn("setting", F.lit(n)) for n in (0, *settings)]
+    return union(results)
+
+
+def same_answer(results: DataFrame, key: str, settings: tuple[int, ...] = (2, 4, 8), tolerance: float = TOLERANCE) -> DataFrame:
+    """One row per partition setting: does it give the result of setting 0? See results_by_setting.
+
+    The settings of a key meet in one group; no two results are joined.
+    """
+    measures = [COUNT, *MEASURES]
+    side = lambda n: F.max(F.when(F.col("setting") == n, F.struct(*measures)))
+    wide = results.groupBy(key).agg(*[side(n).alias(f"s{n}") for n in (0, *settings)])
+
+    def gap(n: int, name: str) -> Column:
+        mine, plain = F.col(f"s{n}.{name}"), F.col(f"s0.{name}")
+        one_sided = F.col(f"s{n}").isNotNull() & F.col("s0").isNotNull() & (mine.isNull() != plain.isNull())
+        return F.coalesce(F.max(F.when(one_sided, F.lit(float("inf"))).otherwise(F.abs(mine - plain).cast("double"))), F.lit(0.0))
+
+    reports = F.inline(F.array(*[F.struct(
+        F.col(f"groups_{n}").alias("parallel_groups"), F.col("groups_0").alias("baseline_groups"), F.col(f"alone_{n}").alias("one_sided_groups"),
+        *[F.col(f"{m}_{n}").alias(f"max_{m}_difference") for m in measures], F.lit(n).alias("setting")) for n in settings]))
+    totals = [F.count_if(F.col(f"s{n}").isNotNull()).alias(f"groups_{n}") for n in (0, *settings)]
+    for n in settings:
+        totals.append(F.count_if(F.col(f"s{n}").isNull() != F.col("s0").isNull()).alias(f"alone_{n}"))
+        totals += [gap(n, m).alias(f"{m}_{n}") for m in measures]
+    report = wide.agg(*totals).select(reports)
+    agree = (F.col("one_sided_groups") == 0) & (F.col(f"max_{COUNT}_difference") == 0)
+    for name in MEASURES:
+        agree = agree & (F.col(f"max_{name}_difference") < tolerance)
+    return report.withColumn("passed", agree)
+
+
+def fingerprints(results: DataFrame, columns: list[str], baseline: int = 0) -> DataFrame:
+    """(setting, groups, fingerprint, agrees): results as multisets of rows, compared exactly without joining them.
+
+    A fingerprint is the sum of the hashes of the rows as a decimal: it does not depend on their order and those of parts
+    add up. agrees: groups and fingerprint are those of the baseline setting.
+    """
+    rows = results.select("setting", F.xxhash64(*columns).cast("decimal(38,0)").alias("hash"))
+    summed = rows.groupBy("setting").agg(F.count(F.lit(1)).alias("groups"), F.sum("hash").alias("fingerprint"))
+    base = F.max(F.when(F.col("setting") == baseline, F.struct("groups", "fingerprint"))).over(W.partitionBy())  # a row a setting
+    return summed.select("setting", "groups", "fingerprint", F.struct("groups", "fingerprint").eqNullSafe(base).alias("agrees"))

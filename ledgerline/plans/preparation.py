@@ -128,7 +128,7 @@ def f1_columns(spark, root):
 
 @query("f2_candidate_keys", f"SELECT table_name, column_name FROM ({PROFILE_SQL}) WHERE is_candidate_key")
 def f2(spark, root):
-    return f1_columns(spark, root).filter("is_candidate_key").select("table_name", "column_name")
+    return profile.candidate_keys(profiled(spark, root))
 
 
 @query("f3_constant_columns", """SELECT c AS column_name, d AS distinct_count FROM (

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import messages, scalars
 from ledgerline.operators import validate
-from ledgerline.operators.metrics import ALL_ROWS, NON_NULL, group_metric
+from ledgerline.operators.joins import Hop, roll_up
+from ledgerline.operators.metrics import ALL_ROWS, NON_NULL, group_metric, partial_sums, total_of
 from ledgerline.operators.prepare import unique_texts
 from ledgerline.plans.joining import (ASIA_SQL, CUSTOMER_MESSAGES_SQL, EARLY_SQL, ENTITLEMENT_MESSAGES_SQL, TRANSACTION_MESSAGES_SQL, _classified,
                                       customer_messages, entitlement_messages, transaction_messages, two_results)
@@ -151,6 +152,25 @@ def v4_revenue(spark, root):
     return messages.payload_sizes(rows, "RegionRevenue")
 
 
+# The report of every order status: its nations, in order, and their totals.
+@query("v4_report_payload", f"""SELECT *, json_bytes - protobuf_bytes AS saved,
+  CAST(json_bytes - protobuf_bytes AS DOUBLE) / json_bytes * 100 AS reduction_pct
+  FROM (SELECT 'RegionalRevenueReport' AS message, 3 AS fields, count(*) AS row_count,
+    CAST(sum(octet_length(encode(CAST(to_json(struct_pack(regions := regions, transaction_total := n, revenue_total := total)) AS VARCHAR)))) AS BIGINT) AS json_bytes,
+    CAST(sum(list_sum(list_transform(regions, lambda r: 1 + octet_length(encode(r)) + {varint_sql("octet_length(encode(r))")}))
+      + {whole_size_sql("n")} + {real_size_sql("total")}) AS BIGINT) AS protobuf_bytes
+  FROM (SELECT o_orderstatus, list(n_name ORDER BY n_name) AS regions, CAST(sum(n) AS BIGINT) AS n, CAST(sum(total) AS DOUBLE) AS total
+    FROM (SELECT o_orderstatus, n_name, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS total FROM orders
+      JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL) GROUP BY o_orderstatus))""")
+def v4_report(spark, root):
+    hops = [Hop(table(spark, root, "customer"), "o_custkey", "c_custkey", "customer"), Hop(table(spark, root, "nation"), "c_nationkey", "n_nationkey", "nation", sum_first=False)]
+    sums = partial_sums(F.col("o_totalprice"), 2)
+    by_nation = roll_up(table(spark, root, "orders"), hops, ["o_orderstatus", "n_name"], sums)
+    # A report lists each nation once: as many names as the dimension has.
+    reports = by_nation.groupBy("o_orderstatus").agg(F.sort_array(F.collect_set("n_name")).alias("regions"), *[F.sum(c).alias(c) for c in sums])
+    return messages.payload_sizes(reports.select("regions", F.col("_rows").alias("transaction_total"), total_of(2).alias("revenue_total")), "RegionalRevenueReport")
+
+
 @query("v5_round_trip", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS mismatches FROM lineitem")
 def v5(spark, root):
     return messages.round_trip(transaction_messages(spark, root))
@@ -165,7 +185,15 @@ def v5_text(spark, root):
 @query("v6_same_answer", " UNION ALL ".join(
     f"SELECT *, {n} AS setting FROM ({compare_sql(keyed_sql('n_name'), keyed_sql('n_name'))})" for n in (2, 4, 8)))
 def v6(spark, root):
-    return validate.same_answer(lines(spark, root), "n_name", "score", to_nation(spark, root), 0)
+    return validate.same_answer(validate.results_by_setting(lines(spark, root), "n_name", "score", to_nation(spark, root), 0), "n_name")
+
+
+@query("v6_fingerprints", f"""SELECT s AS setting, count(*) AS groups, true AS agrees
+  FROM ({keyed_sql('n_name')}), (SELECT unnest([0, 2, 4, 8])::INTEGER AS s) GROUP BY s""")
+def v6_fingerprints(spark, root):
+    results = validate.results_by_setting(lines(spark, root), "n_name", "score", to_nation(spark, root), 0)
+    found = validate.fingerprints(results, ["n_name", "txn_count", "score_total", "score_mean"])
+    return found.select("setting", "groups", "agrees")
 
 
 @query("x1_mechanism", f"""SELECT mechanism, l_linenumber, count(*) AS events FROM (SELECT {MECHANISM_SQL} AS mechanism,

@@ -441,3 +441,39 @@ def test_buckets_by_volume(spark):
         assert len(sizes) == 8 and max(sizes.values()) <= 1.15 * 5000
         assert placed.groupBy("bucket").agg(F.count_distinct("at").alias("n")).agg(F.max("n")).first()[0] == 1
         assert sorted(map(tuple, p.balanced_counts(hot, "k", buckets).collect())) == sorted(map(tuple, counts.collect()))
+
+
+def test_fingerprints_name_a_planted_difference(spark):
+    from ledgerline.operators import validate
+
+    rows = spark.createDataFrame([(s, k, n, n / 2) for s in (0, 2, 4) for k, n in (("a", 5), ("b", 7), (None, 1))], "setting int, k string, txn_count bigint, score_total double")
+    columns = ["k", "txn_count", "score_total"]
+    assert {(r.setting, r.groups, r.agrees) for r in validate.fingerprints(rows, columns).collect()} == {(0, 3, True), (2, 3, True), (4, 3, True)}
+    changed = rows.withColumn("score_total", F.when((F.col("setting") == 4) & (F.col("k") == "b"), 3.25).otherwise(F.col("score_total")))
+    assert {(r.setting, r.agrees) for r in validate.fingerprints(changed, columns).collect()} == {(0, True), (2, True), (4, False)}
+    twice = rows.unionAll(rows.filter("setting = 2 AND k = 'a'"))  # a multiset, not a set
+    assert {(r.setting, r.groups, r.agrees) for r in validate.fingerprints(twice, columns).collect()} == {(0, 3, True), (2, 4, False), (4, 3, True)}
+
+
+def test_settings_share_one_scan(spark, scored):
+    from ledgerline.operators import validate
+
+    results = validate.results_by_setting(scored, "region", "score", [], 2)
+    report = {r.setting: r.passed for r in validate.same_answer(results, "region").collect()}
+    assert report == {2: True, 4: True, 8: True}
+    other = results.withColumn("txn_count", F.when(F.col("setting") == 8, F.col("txn_count") + 1).otherwise(F.col("txn_count")))
+    lost = other.filter("NOT (setting = 4 AND region = 'a')")
+    found = {r.setting: (r.one_sided_groups, r.max_txn_count_difference, r.passed) for r in validate.same_answer(lost, "region").collect()}
+    assert found[2] == (0, 0, True) and found[8][1:] == (1, False) and found[4][0] <= 1
+
+
+def test_sketches_rule_out_what_cannot_be_a_key(spark):
+    from ledgerline.operators import profile
+
+    rows = spark.range(20_000).select("id", (F.col("id") % 10_000).alias("half"), F.when(F.col("id") != 7, F.col("id")).alias("hole"),
+                                      F.when(F.col("id") == 3, 4).otherwise(F.col("id")).alias("nearly"), F.concat(F.lit("t"), "id").alias("text"), F.lit(1.5).alias("same"))
+    assert profile.possible_keys({"t": rows}) == {"t": ["id", "nearly", "text"]}
+    assert {r.column_name for r in profile.candidate_keys({"t": rows}).collect()} == {"id", "text"}
+    assert profile.candidate_keys({"t": rows.select("same")}).count() == 0
+    empty = profile.candidate_keys({"t": rows.limit(0)})
+    assert {r.column_name for r in empty.collect()} <= set(rows.columns)
