@@ -113,12 +113,13 @@ def _number(begin: Column, end: Column, match: Column, piece: Column) -> Column:
 
 
 def _setting(begin: Column, end: Column, match: Column, piece: Column) -> Column:
-    """Candidate value of a setting: labelers on the setting's name, mixed characters, quotes, ordinary word, place holder."""
+    """Candidate value of a setting: labelers on the setting's name, digits and signs, mixed characters, quotes, ordinary word, place holder."""
     value = F.regexp_extract(match, r"""[=:]\s*["']?([^\s"',;<>]+)$""", 1)
     kinds = sum([value.rlike(c).cast("int") for c in ("[0-9]", "[A-Z]", "[a-z]", "[^A-Za-z0-9]")], F.lit(0))
     votes = F.concat(
         F.when(match.rlike("^(?i)(?:password|passwd|pwd|secret|api_?key|access_key)"), "1").otherwise("-"),
-        F.when(kinds >= 2, "1").otherwise("0"),
+        F.when(value.rlike("[0-9$#@!%&*^+/_-]"), "1").otherwise("0"),
+        F.when((kinds >= 2) & (F.length(value) >= 6), "1").otherwise("0"),
         F.when(match.rlike(r"""[=:]\s*["'][^"']+$"""), "1").otherwise("-"),
         F.when(value.rlike("^[A-Z]?[a-z]+[.!?]?$|^[A-Z]+$"), "0").otherwise("-"),
         F.when(value.rlike(r"^(?:[*.x_-]+|(?i:none|null|true|false))$|^[${(\[]"), "0").otherwise("-"))

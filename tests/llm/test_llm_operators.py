@@ -256,3 +256,80 @@ def test_registered_mixing_counts_tokens(spark, tmp_path):
     weights = dict(zip(names, mixing.tempered(counts, mixing.bisected(counts, mixing.Target(passes=1.25)))))
     found = queries.QUERIES["op8_source_mixing"](spark, str(tmp_path)).collect()
     assert len(found) == len(rows) and all(abs(r.weight - weights[r.source or ""]) < 1e-9 and r.copies >= 1 for r in found)
+
+
+def test_equal_vectors_tie_in_every_cell(spark, monkeypatch):
+    from ledgerline.llm import vectors
+
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", 128)  # several cells
+    rng = np.random.default_rng(9)
+    same = rng.normal(size=13)
+    same /= np.linalg.norm(same)
+    x = [same if i % 2 else v / np.linalg.norm(v) for i, v in enumerate(rng.normal(size=(600, 13)))]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.search(table, 5, 20).collect():
+        found.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    queries = spark.createDataFrame([(1000, same.tolist())], table.schema)
+    whole = {r.rank: r.vec_id for r in neighbours.search(table.unionAll(queries), 20, 1000).filter("query_id = 1000").collect()}
+    assert [whole[k] for k in range(1, 21)] == list(range(1, 40, 2))
+    for own in found.values():
+        for k in range(1, 5):
+            assert (-own[k][1], own[k][0]) < (-own[k + 1][1], own[k + 1][0])
+
+
+def test_what_has_no_letter_is_undetermined(spark, odd):
+    rows = spark.createDataFrame([(0, "\u2764\ufe0f"), (1, "1\ufe0f\u20e3 2"), (2, "\u0301"), (3, "e\u0301t\u00e9 mail"), (4, "12 a\u0308")], "doc_id long, text string")
+    learned = langid.fit(odd)
+    found = {r.doc_id: (r.lang_pred, r.score > 0) for r in langid.predict(rows, learned).collect()}
+    assert [found[i][0] for i in range(3)] == ["und"] * 3 and not any(found[i][1] for i in range(3))
+    assert found[3][0] != "und" and found[4][0] != "und"
+
+
+def test_four_languages_by_plain_sets_and_held_out(spark):
+    rng = np.random.default_rng(21)
+    syllables = {"aa": "ka lo mi ru ten", "bb": "sch ung ein der ich", "cc": "eau oux ille ment que", "dd": "ción aba ños que ero"}
+    said = lambda lang: " ".join("".join(rng.choice(syllables[lang].split(), rng.integers(1, 4))) for _ in range(40))
+    rows = [(i, said(lang), lang) for i, lang in enumerate(sorted(syllables) * 60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(table)
+    grams = {}
+    for i, text, lang in rows:
+        if not __import__("zlib").crc32(str(i).encode()) % 5 == 0:
+            grams.setdefault(lang, set()).update(langid.letter_grams([text])[0].tolist())
+    right = 0
+    found = langid.predict(table, model).collect()
+    for r in found:
+        own = langid.letter_grams([rows[r.doc_id][1]])[0].tolist()
+        plain = {lang: sum(g in held for g in own) for lang, held in grams.items()}
+        assert r.lang_pred == max(sorted(plain), key=plain.get)
+        right += r.lang_pred == rows[r.doc_id][2] and r.held_out
+    assert right == sum(r.held_out for r in found) > 20
+
+
+def test_stages_keep_columns_of_any_name(spark, odd):
+    clash = odd.select("doc_id", "text", "lang", "source", "n_chars", F.lit("a").alias("pii_text"), F.lit("b").alias("pii_secret"), F.lit("c").alias("__block"),
+                       F.lit("d").alias("__lang"), F.lit("e").alias("__known"), F.lit("f").alias("row"), F.lit("g").alias("__name"), F.lit("h").alias("__copies"))
+    for made in (pii.masked(clash), langid.kept(clash, langid.fit(clash)), mixing.mixture(clash, mixing.Target(passes=1.5)), jaccard.one_per_group(clash)):
+        assert made.columns == clash.columns
+        assert {tuple(r)[5:] for r in made.collect()} == {tuple("abcdefgh")}
+        assert made.limit(0).count() == 0
+    assert not any("@" in (r.text or "") for r in pii.masked(clash).collect())
+
+
+def test_an_unlabelled_table_keeps_its_rows(spark, odd, data):
+    bare = odd.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language(spark, bare, data)
+    assert kept.columns == bare.columns and kept.count() == bare.count()
+    assert corpus_pipeline.language(spark, bare.limit(0), data).count() == 0
+
+
+def test_settings_and_overlaps_are_masked_whole(spark):
+    token = "a1b2c3d4e5fx" + "4111111111111111" + "xa1b2c3d4e5f"  # a card number within a secret
+    rows = [(0, "password = hunter2 and more"), (1, f"here is {token} end"), (2, "token: the next word"), (3, 'pwd: "Tr0ub4dor&3"'), (4, None), (5, ""), (6, "mail a@b.cd, a@b.cd")]
+    rows += [(10 + i, f'secret = "{"0123456789abcdef" * 2}{i}"') for i in range(20)] + [(40 + i, "auth: yes or token: none") for i in range(20)]
+    found = {r.doc_id: r.text for r in pii.masked(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[0] == "password = <SETTING> and more" and found[1] == "here is <SECRET> end" and found[3] == 'pwd: "<SETTING>"'
+    assert found[2] == rows[2][1] and found[4] is None and found[5] == "" and found[6] == "mail <EMAIL>, <EMAIL>" and found[45] == "auth: yes or token: none"
+    spans = {r.doc_id: r.spans for r in pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert spans[0] == "setting:11:18" and spans[1] == "card:20:36" and spans[2] == ""
