@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.vectors import first_k, grid, matrix, packed, usable
 
 _STEP = 1024  # candidates between two looks at the thresholds
+_DENSE = 1 / 16  # share of pairs from which one matrix product is cheaper than picking rows
 _EXACT = 2.0**53  # whole numbers below this are exact as doubles
 
 
@@ -81,13 +82,23 @@ def search(vectors: DataFrame, k: int, every: int, head: int, id_name: str = "ve
             if not len(live):
                 break
             bound = qr[live, :head] @ xr[b, :head].T + q_rest[live][:, None] * x_rest[b][None, :] + slack[live]
-            i, j = np.nonzero((bound >= least[live][:, None]) & (qid[live][:, None] != cid[b][None, :]))
-            i, j = live[i], j + a
-            for c in range(0, max(len(i), 1), 1 << 18):  # bounded memory
-                part = slice(c, c + (1 << 18))
-                new = _scores(q[i[part]], x[j[part]])
-                keep = new >= least[i[part]]
-                at, who, score = (np.concatenate(p) for p in ((at, i[part][keep]), (who, cid[j[part][keep]]), (score, new[keep])))
+            may = (bound >= least[live][:, None]) & (qid[live][:, None] != cid[b][None, :])
+            if exact and may.mean() > _DENSE:  # whole numbers: any order of summation gives the same
+                scores = np.where(may, q[live] @ x[b].T, -np.inf)
+                if scores.shape[1] > k:  # the k best of a step hold its part of the k best, with all that tie with the last
+                    last = np.partition(scores, -k, axis=1)[:, -k]
+                    may &= scores >= last[:, None]
+                i, j = np.nonzero(may & (scores >= least[live][:, None]))
+                new = scores[i, j].astype(np.int64)
+                at, who, score = (np.concatenate(p) for p in ((at, live[i]), (who, cid[j + a]), (score, new)))
+            else:
+                i, j = np.nonzero(may)
+                i, j = live[i], j + a
+                for c in range(0, max(len(i), 1), 1 << 18):  # bounded memory
+                    part = slice(c, c + (1 << 18))
+                    new = _scores(q[i[part]], x[j[part]])
+                    keep = new >= least[i[part]]
+                    at, who, score = (np.concatenate(p) for p in ((at, i[part][keep]), (who, cid[j[part][keep]]), (score, new[keep])))
             chosen = first_k(at, who, score, k)
             at, who, score = at[chosen], who[chosen], score[chosen]
             full = np.flatnonzero(np.bincount(at, minlength=len(q)) >= k)
