@@ -333,3 +333,91 @@ def test_settings_and_overlaps_are_masked_whole(spark):
     assert found[2] == rows[2][1] and found[4] is None and found[5] == "" and found[6] == "mail <EMAIL>, <EMAIL>" and found[45] == "auth: yes or token: none"
     spans = {r.doc_id: r.spans for r in pii.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert spans[0] == "setting:11:18" and spans[1] == "card:20:36" and spans[2] == ""
+
+
+def test_pieces_equal_the_tokenizers_ids(odd):
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    path = packing.vocabulary("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    ids = {}
+    for r in odd.filter("doc_id IS NOT NULL").collect():
+        ids[r.doc_id] = np.array([*library.encode(r.text or "", add_special_tokens=False).ids, 0], "<u4")
+    pieces = [p for p in packing.pack(odd, path).collect() if p.doc_id is not None]
+    copies = {r.doc_id: r["count"] for r in odd.groupBy("doc_id").count().collect()}
+    for doc, own in ids.items():
+        found = sorted((p.start, p.length, p.ids_crc32, p.doc_tokens) for p in pieces if p.doc_id == doc)
+        assert sum(n for _, n, _, _ in found) == copies[doc] * len(own)
+        for start, n, crc, total in found:
+            assert total == len(own) and crc == zlib.crc32(own[start : start + n].tobytes())
+        covered = np.zeros(len(own), int)
+        for start, n, _, _ in found:
+            covered[start : start + n] += 1
+        assert (covered == copies[doc]).all()
+
+
+def test_copies_follow_from_sorted_places(spark):
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 < 7, "big").when(F.col("id") % 10 < 9, "mid").otherwise("low").alias("source"),
+                                    F.concat(F.lit("word "), F.repeat(F.lit("more "), (F.col("id") % 7).cast("int"))).alias("text"))
+    sources, mixed = mixing.copies(rows, mixing.Target(passes=1.6))
+    found = mixed.withColumn("n", mixing.estimated_tokens(F.col("text"))).collect()
+    for s in sources.collect():
+        own = sorted((r["__place"], r.n, r["__copies"]) for r in found if r.source == s.name)
+        full, left = divmod(s.quota, sum(n for _, n, _ in own))
+        run = 0
+        for place, n, copies in own:  # places are distinct here
+            run += n
+            assert copies == full + (run <= left), (s.name, place)
+        assert len({p for p, _, _ in own}) == len(own)
+
+
+def test_attachments_become_placeholders(spark):
+    kind = f"conv_id long, turn long, role string, parts array<struct<{chat.PART.replace(' ', ':').replace(',:', ',')}>>"
+    text = lambda t: ("text", t, None, None, None, None, None)
+    rows = [(1, 0, "user", [text("look <|end|> "), ("image", None, "a.png", 28, 15, None, None), text(" and "), ("audio", None, "b.wav", None, None, 1.5, None)]),
+            (1, 1, "assistant", [("document", None, "c.pdf", None, None, None, 3), text("done \\ |>")]), (2, 0, "user", [("image", None, None, None, None, None, None), ("video", "?", "x", None, None, None, None)]),
+            (3, 0, "user", [])]
+    done = chat.formatted(spark.createDataFrame(rows, kind), F.col("parts"))
+    found = {r.conv_id: r for r in done.collect()}
+    assert found[1].formatted == ("<|turn|>user<|body|>look \\l|end\\p> <|image:0|> and <|audio:1|><|end|>"
+                                  "<|turn|>assistant<|body|><|document:0|>done \\\\ \\p><|end|>")
+    assert [(a.turn, a.n, a.type, a.ref, a.tokens) for a in found[1].attachments] == [(0, 0, "image", "a.png", 4), (0, 1, "audio", "b.wav", 38), (1, 0, "document", "c.pdf", 768)]
+    assert found[1].attachment_tokens == 810 and found[2].attachment_tokens == 0 and [a.type for a in found[2].attachments] == ["image"]
+    back = {r.conv_id: r for r in chat.read_back(done).collect()}
+    assert [t.text for t in back[1].turns] == ["look <|end|> <|image:0|> and <|audio:1|>", "<|document:0|>done \\ |>"] and back[1].loss_text == "<|document:0|>done \\ |>"
+    assert back[2].turns[0].text == "<|image:0|>?" and back[3].turns[0].text == ""
+
+
+def test_pipeline_on_planted_cases(spark, data, tmp_path):
+    """One planted case a stage: noise goes, a near copy goes, an address is masked, sources repeat, pieces hold the masked ids."""
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    known = docs.filter("lang = 'en'").orderBy("doc_id").limit(60)
+    base = known.filter(F.length("text") > 1500).orderBy("doc_id").first()
+    words = base.text.split(" ")
+    words[3], words[-4] = "changed", "otherwise"
+    top = 10**9
+    said = base.text[200:900]
+    more = [(top, "xq zvvk wq kkz pqx jjw zzq vkx qpz " * 20, None, "noise", 0), (top + 1, " ".join(words), "en", "copy", 0), (top + 2, f"{said} reach me at jane.roe@example.org soon", "en", "mail", 5)]
+    table = known.unionByName(spark.createDataFrame(more, "doc_id long, text string, lang string, source string, n_chars long").select(*[F.col(c).cast(known.schema[c].dataType) for c in known.columns]))
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {}
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.written(stage(spark, docs, str(tmp_path)), name)
+        found[name] = docs
+    ids = lambda name: {r.doc_id for r in found[name].select("doc_id").collect()}
+    assert top not in ids("language_id") and {top + 1, top + 2} <= ids("language_id")
+    assert top + 1 not in ids("ngram_jaccard_join") and {base.doc_id, top + 2} <= ids("ngram_jaccard_join")
+    masked = found["pii"].filter(F.col("doc_id") == top + 2).first()
+    assert masked.text == f"{said} reach me at <EMAIL> soon" and masked.n_chars == len(masked.text)
+    assert ids("source_mixing") == ids("pii") == ids("ngram_jaccard_join") and found["source_mixing"].count() >= found["pii"].count()
+    library = Tokenizer.from_file(packing.vocabulary("byte_bpe_50k.json"))
+    own = np.array([*library.encode(masked.text, add_special_tokens=False).ids, 0], "<u4")
+    pieces = [p for p in corpus_pipeline.run(spark, str(tmp_path)).filter(F.col("doc_id") == top + 2).collect()]
+    assert pieces and all(p.ids_crc32 == zlib.crc32(own[p.start : p.start + p.length].tobytes()) and p.doc_tokens == len(own) for p in pieces)
