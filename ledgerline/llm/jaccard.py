@@ -1,20 +1,22 @@
 """Near-duplicate documents: word-shingle sets whose Jaccard similarity reaches a threshold.
 
-Method: prefixes of token combinations. Shingles have one global order, rare before frequent. A set of n shingles that
-must share all but t of them with a partner is represented by the shortest prefix whose classes sum to t + 1, where a
-rare shingle counts 1 and a class of frequent shingles counts its members less 1. The prefix is indexed by its rare
-shingles and by the pairs of shingles within each frequent class: two sets that are similar enough share one such key,
-since at most t shingles of the prefix that ends first are missing from the other set. Frequent shingles are dealt to a
-number of classes that follows the size of the set, so that pairs per set stay in proportion to t. Sizes that straddle a
-power of two use both numbers of classes. Very small sets have single shingles only.
-
-The join (similar_sets) pairs all sets of each key, in blocks, so that a key with many sets is many groups. Where only the
-components of the links are asked for (near_duplicates), a key needs no pairs of all its sets: each set is compared with
-the smallest and largest set of its keys first; after that only sets of one key that are still in different components are
-paired. Both go behind exact bounds (sizes; sketches of parities and of counts, whose distance is at most the size of the
-symmetric difference), and all surviving pairs are verified on the whole texts. No list is capped.
-
-Shingles and sets are known by 64-bit hashes; among 10^10 different sets about three pairs collide.
+Method: prefixes of token combinations. Shingles have one global order, that of their hash. A set of n shingles that can
+miss t of them in a partner shares one of its first t + 1 with every partner, and k of its first t + k.
+
+1. Prefixes are extended, and a set stays only if enough of its prefix is found in other sets: of the first t + k shingles
+   at most t may occur in no other set. Shingles that one set alone has are counted by set, so nothing is joined and a
+   frequent shingle is summed up before it is moved. The sets that pass are extended to their whole length, which leaves
+   little but near duplicates: sets that share a passage have too many shingles of their own.
+2. Those left are found by combinations. Their shingles are dealt to classes by hash, more classes than similar sets
+   can differ in, so that two such sets agree in a whole class, and the combination of all shingles of a class is a key.
+   A frequent shingle alone is never a key, so lists of a key do not follow its frequency. (A shingle of two to eight sets
+   as a key by itself, where a prefix has no frequent one, was tried and left: it ties sets together that only share a
+   passage, and the clusters of step 3 ran together as the corpus grew.)
+3. Sets connected by keys are a cluster, and all pairs of a cluster are verified on the whole sets, in cells of two blocks of
+   sets, one task each. Links are counted by set and connected within the cell, so no pairs are written.
+
+Rare shingles so serve singly, to rule sets out; the others in combinations. No list is capped. Shingles and sets are
+known by 64-bit hashes; among 10^10 different sets about three pairs collide.
 """
 
 from __future__ import annotations
@@ -30,12 +32,10 @@ from ledgerline.llm.components import components
 from ledgerline.llm.shingles import batches, mixed, shingle_sets
 from ledgerline.llm.store import small, written
 
-#: Buckets of the shingle counts: a fixed size, whatever the corpus.
-BUCKET_BITS = 16
-SKETCH = 8  # 64-bit words of a parity sketch
-_SHIFT = np.uint64(64 - BUCKET_BITS)
-_SMALL = 6  # sets below 2^6 shingles have no classes of frequent ones
-_S = [f"s{i}" for i in range(SKETCH)]
+BLOCK = 512  # sets on either side of a cell,
+BLOCK_BYTES = 1 << 25  # and about so many bytes
+_TRIES = 8  # independent ways to deal shingles to classes
+_U = np.uint64
 
 
 def set_id(hashes: np.ndarray) -> int:
@@ -43,231 +43,229 @@ def set_id(hashes: np.ndarray) -> int:
     return int(mixed(np.array([mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)], np.uint64)).view(np.int64)[0])
 
 
-def parity_sketch(hashes: np.ndarray) -> np.ndarray:
-    """Of each of 64 * SKETCH bits, whether an odd number of shingles falls on it."""
-    bits = np.bincount((hashes & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
-    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+def missing(n, num: int, den: int):
+    """Of n shingles so many may be absent from a partner."""
+    return (den - num) * n // den
 
 
-def counters(hashes: np.ndarray) -> bytes:
-    """Shingles by the low bits of their hash, four to eight a counter, however large the set."""
-    size = 1 << max(0, (len(hashes) // 8).bit_length())
-    found = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size)
-    return np.minimum(found, 65535).astype("<u2").tobytes()
+def prefix(hashes: np.ndarray, num: int, den: int, halves: int) -> np.ndarray:
+    """The first t + 1 shingles in the global order, and `halves` halves of t more."""
+    t = missing(len(hashes), num, den)
+    return np.sort(mixed(hashes))[: t + 1 + halves * t // 2]
 
 
-def counter_distance(x: bytes, y: bytes) -> int:
-    """At most the size of the symmetric difference: the larger list of counters is folded to the size of the smaller."""
-    a, b = (np.frombuffer(v, "<u2").astype(np.int64) for v in (x, y))
-    n = min(len(a), len(b))
-    return int(np.abs(a.reshape(-1, n).sum(0) - b.reshape(-1, n).sum(0)).sum())
+def first_extension(num: int, den: int) -> int:
+    """Halves of t by which the first prefix is longer: so many that it has about a quarter of a set."""
+    return max(1, round(den / (den - num) / 5))
 
 
-def prefix_keys(hashes: np.ndarray, counts: np.ndarray, limit: float, num: int, den: int) -> np.ndarray:
-    """Index keys of one set: single rare shingles and pairs of frequent ones.
+def needed(n: Column, num: int, den: int, halves: int | None) -> tuple[Column, Column]:
+    """(length, found): of a prefix (None: the whole set), and how many of it occur in other sets if there is a partner, which may be shorter."""
+    t = lambda m: F.floor((den - num) * m / den)
+    if halves is None:
+        return n, n - t(n)
+    shortest = F.ceil(num * n / den)
+    return F.least(n, t(n) + 1 + F.floor(halves * t(n) / 2)), F.least(n - t(n), 1 + F.floor(halves * t(shortest) / 2))
 
-    counts: occurrences in the corpus by bucket; above limit a shingle is frequent.
-    """
-    n = len(hashes)
-    if not n:
-        return hashes
-    missing = (den - num) * n // den  # of n shingles so many may be absent from a partner
-    load = counts[(hashes >> _SHIFT).astype(np.int64)]
-    order = np.lexsort((hashes, load))
-    frequent = (load > limit)[order]
-    ordered = hashes[order]
-    level = n.bit_length() - 1
-    levels = [level] + [level + 1] * (n * den >= num * (2 << level))  # a partner can be of the next size
-    keys = []
-    for b in levels:
-        if b < _SMALL or not frequent[: missing + 1].any():
-            keys.append(ordered[: missing + 1])
-            continue
-        classes = np.where(frequent, (ordered >> np.uint64(9)) % np.uint64(1 << (b - 3)), np.uint64(1 << 63))
-        gain = np.ones(n, np.int64)
-        _, firsts = np.unique(classes, return_index=True)
-        gain[firsts[frequent[firsts]]] = 0
-        end = int(np.searchsorted(np.cumsum(gain), missing + 1)) + 1
-        part, often, of = ordered[:end], frequent[:end], classes[:end]
-        keys.append(part[~often])
-        by = np.argsort(of[often], kind="stable")
-        part, of = part[often][by], of[often][by]
-        step = 1
-        while step < len(part) and (same := of[step:] == of[:-step]).any():
-            keys.append(mixed(part[:-step][same] * np.uint64(3) + part[step:][same] + np.uint64(b)))
-            step += 1
-    return np.unique(np.concatenate(keys))
 
+def levels(n: int, num: int, den: int) -> list[tuple[int, int]]:
+    """Ranges of sizes, the last but one with n in it: a set is similar to sets of its own range and the two beside it only."""
+    out = [(1, den // num)]
+    while out[-1][0] <= n:
+        low = out[-1][1] + 1
+        out.append((low, max(low, den * low // num)))
+    return out
 
-def _profile(words: int):
-    fields = [("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), *((s, pa.int64()) for s in _S), ("counters", pa.binary()),
-              ("bucket", pa.int32()), ("freq", pa.int64())]
-    schema = pa.schema(fields)
 
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << BUCKET_BITS, np.int64)
-        for batch in batches(stream):
-            sets = shingle_sets(batch.column(1), words)
-            if sets:
-                counts += np.bincount((np.concatenate(sets) >> _SHIFT).astype(np.int64), minlength=len(counts))
-            sketches = np.array([parity_sketch(s) for s in sets], np.int64).reshape(-1, SKETCH)
-            none = pa.nulls(len(sets), pa.int64())
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64()),
-                *(pa.array(sketches[:, i]) for i in range(SKETCH)), pa.array([counters(s) for s in sets], pa.binary()), none.cast(pa.int32()), none], schema=schema)
-        held = np.flatnonzero(counts)
-        none = pa.nulls(len(held), pa.int64())
-        yield pa.RecordBatch.from_arrays([none] * (3 + SKETCH) + [pa.nulls(len(held), pa.binary()), pa.array(held.astype(np.int32)), pa.array(counts[held])], schema=schema)
+def combination_keys(hashes: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The combinations of the set's shingles by class, for partners of its own and of the next range of sizes.
 
-    return run, "doc_id long, n long, cid long, " + "".join(f"{s} long, " for s in _S) + "counters binary, bucket int, freq long"
+    Similar sets of a level differ in d shingles at most; with more than d classes that hold shingles of a set, one is
+    free of differences. Where a set fills too few, another dealing follows, in both of a pair for which none of them serves; a set
+    that fills too few in all dealings goes by its level alone.
+    """
+    n, keys = len(hashes), []
+    ranges = levels(n, num, den)
+    for level in (len(ranges) - 2, len(ranges) - 1):
+        d = 2 * (den - num) * ranges[level][1] // (den + num)
+        classes = d + 3 + d // 8
+        for i in range(_TRIES):
+            dealt = mixed(hashes ^ mixed(np.array([level * _TRIES + i + 1], np.uint64)))
+            of = (dealt % _U(classes)).astype(np.int64)
+            order = np.argsort(of, kind="stable")
+            filled, first = np.unique(of[order], return_index=True)
+            sums = np.add.reduceat(mixed(dealt)[order], first)
+            keys.append(mixed(sums + mixed(filled.astype(np.uint64) + _U(level << 40) + _U(i << 34))))
+            if len(filled) > d:
+                break
+        else:
+            keys.append(mixed(np.array([level], np.uint64)))
+    return np.concatenate(keys)
 
 
-def _index(words: int, counts: np.ndarray, limit: float, num: int, den: int):
+def _profile(words: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(stream):
-            sets = [s for s in shingle_sets(batch.column(0), words) if len(s)]
-            keys = [prefix_keys(s, counts, limit, num, den) for s in sets]
-            if keys:
-                cids = np.repeat(np.array([set_id(s) for s in sets], np.int64), [len(k) for k in keys])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(cids)], names=["key", "cid"])
+            sets = shingle_sets(batch.column(1), words)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64())], names=["doc_id", "n", "cid"])
 
-    return run, "key long, cid long"
+    return run, "doc_id long, n long, cid long"
 
 
-def _sets(words: int):
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(stream):
-            sets = shingle_sets(batch.column(0), words)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cid", "shingles"])
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.astype(np.uint64).view(np.int64))
 
-    return run, "cid long, shingles binary"
 
+def _keyed(keys: list[np.ndarray], cids: list[int]) -> pa.RecordBatch:
+    flat = np.concatenate([*keys, np.zeros(0, np.uint64)])
+    return pa.RecordBatch.from_arrays([_signed(flat), pa.array(np.repeat(np.array(cids, np.int64), [len(k) for k in keys]))], names=["key", "cid"])
 
-def _similar(num: int, den: int):
-    """Whether two sets, as bytes, are similar enough."""
 
-    def test(x: bytes, y: bytes) -> bool:
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return den * both >= num * (len(x) + len(y) - both)
+def _text_prefixes(words: int, num: int, den: int, halves: int):
+    """(key, cid): the prefixes of texts."""
 
-    return test
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(stream):
+            sets = [s for s in shingle_sets(batch.column(0), words) if len(s)]
+            yield _keyed([prefix(s, num, den, halves) for s in sets], [set_id(s) for s in sets])
 
+    return run, "key long, cid long"
 
-def _possible(num: int, den: int):
-    """Whether the counters of two sets allow similarity; they hold each shingle once, unless a counter is full."""
 
-    def test(x: bytes, y: bytes) -> bool:
-        m, n = (int(np.frombuffer(v, "<u2").sum(dtype=np.int64)) for v in (x, y))
-        full = any((np.frombuffer(v, "<u2") == 65535).any() for v in (x, y))
-        return full or (den + num) * counter_distance(x, y) <= (den - num) * (m + n)
+def _set_keys(make):
+    """(key, cid): the keys that make gives for sets (cid, shingles)."""
 
-    return test
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            yield _keyed([make(np.frombuffer(s, np.uint64)) for s in batch.column(1).to_pylist()], batch.column(0).to_pylist())
 
+    return run, "key long, cid long"
 
-def _tested(test):
-    """The pairs (a, b) that pass, of rows in the order of cell and b: a set's bytes (b is null), then the pairs of the cell."""
 
+def _sets(words: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, {}
-        for batch in stream:
-            keep = []
-            for cell, a, b, value in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if cell != at:
-                    at, held = cell, {}
-                if b is None:
-                    held[a] = value
-                keep.append(b is not None and test(held[a], held[b]))
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run, "a long, b long"
+        for batch in batches(stream):
+            sets = [s for s in shingle_sets(batch.column(0), words) if len(s)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cid", "n", "shingles"])
+
+    return run, "cid long, n long, shingles binary"
+
+
+def shared_sizes(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
+    """The sizes of the intersections of all pairs, from products of parts of the matrix of sets by shingles."""
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    token, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(token, kind="stable")
+    token, of = token[order], of[order]
+    new = np.concatenate([[True], token[1:] != token[:-1]])
+    column = np.cumsum(new) - 1
+    often = np.bincount(column) > 1
+    keep = often[column]
+    column, of = (np.cumsum(often) - 1)[column[keep]], of[keep]
+    for a in range(0, int(often.sum()), columns):
+        part = slice(*np.searchsorted(column, [a, a + columns]))
+        x = np.zeros((len(sets), columns), np.float32)
+        x[of[part], column[part] - a] = 1
+        out += x @ x.T
+    return out
+
+
+def _cell(num: int, den: int, pairs: bool):
+    """Links within cells: rows come by cell, (cluster, i, j, own, cid, copies, shingles), own being i or j.
+
+    Per set with links: a, the set; b, the smallest set that it is connected with in the cell; links, the rows of the sets
+    linked with it. With pairs, a row for each link, a < b.
+    """
 
+    def found(rows: list[tuple]) -> list[tuple]:
+        sets = [np.frombuffer(r[6], np.uint64) for r in rows]
+        cids, copies, own = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 3))
+        size = np.array([len(s) for s in sets], np.float64)
+        both = shared_sizes(sets).astype(np.float64)
+        linked = den * both >= num * (size[:, None] + size[None, :] - both)
+        np.fill_diagonal(linked, False)
+        if rows[0][1] != rows[0][2]:  # the pairs within a block are those of its own cell
+            linked &= own[:, None] != own[None, :]
+        if pairs:
+            return [(min(a, b), max(a, b), 1) for x, y in zip(*np.nonzero(np.triu(linked))) for a, b in [(int(cids[x]), int(cids[y]))]]
+        low = cids.copy()
+        while True:  # the smallest set in reach
+            near = np.where(linked, low[None, :], np.iinfo(np.int64).max).min(1)
+            less = np.minimum(low, near)
+            if (less == low).all():
+                break
+            low = less
+        links = linked @ copies
+        return [(int(cids[k]), int(low[k]), int(links[k])) for k in np.flatnonzero(linked.any(1))]
 
-def celled(pairs: DataFrame, values: DataFrame, test, block: int = 256) -> DataFrame:
-    """The distinct pairs (a, b) that pass the test of their values (a written table: cid, value).
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        kinds = (pa.int64(), pa.int64(), pa.int64())
 
-    Sets are dealt to blocks of about `block`, pairs to the cells of two blocks. A set goes once to each cell where it has a
-    pair, so that a group of many similar sets moves few copies of each, and a task holds the sets of one cell.
-    """
-    n = max(1, -(-values.count() // block))
-    i, j = (F.pmod(F.xxhash64(c), F.lit(n)) for c in "ab")
-    dealt = pairs.withColumn("cell", F.least(i, j) * n + F.greatest(i, j))
-    needed = dealt.select("cell", F.col("a").alias("cid")).unionAll(dealt.select("cell", F.col("b").alias("cid"))).distinct()
-    sets = needed.join(values, "cid").select("cell", F.col("cid").alias("a"), F.lit(None).cast("long").alias("b"), "value")
-    rows = sets.unionAll(dealt.select("cell", "a", "b", F.lit(None).cast("binary").alias("value")))
-    return rows.repartition("cell").sortWithinPartitions("cell", F.asc_nulls_first("b")).mapInArrow(*_tested(test))
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 3, kinds)], names=["a", "b", "links"])
 
+        for part in stream:
+            for row in zip(*(c.to_pylist() for c in part.columns)):
+                if row[:3] != at:
+                    if len(held) > 1:
+                        yield batch(found(held))
+                    at, held = row[:3], []
+                held.append(row)
+        if len(held) > 1:
+            yield batch(found(held))
 
-def _near(num: int, den: int) -> Column:
-    """Whether sizes and sketches of x and y allow similarity: of nx + ny shingles at most a part can be unshared."""
-    unshared = " + ".join(f"bit_count(x.{s} ^ y.{s})" for s in _S)
-    return F.expr(f"{den} * least(x.n, y.n) >= {num} * greatest(x.n, y.n) AND {den + num} * ({unshared}) <= {den - num} * (x.n + y.n)")
+    return run, "a long, b long, links long"
 
 
 class _Sets:
-    """The sets of the texts of docs, their index and the links among them. Tables are written once."""
+    """The sets of the texts of docs, their clusters and the links within. Tables are written once."""
 
     def __init__(self, docs: DataFrame, words: int, num: int, den: int):
-        self.words, self.num, self.den = words, num, den
-        self.texts = texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        profile = written(texts.mapInArrow(*_profile(words)), "profile")
-        rows = profile.filter("bucket IS NULL").drop("bucket", "freq")
-        self.slim = rows.select("doc_id", "n", "cid")
-        counts = np.zeros(1 << BUCKET_BITS, np.int64)
-        for bucket, n in profile.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("freq")).collect():  # at most 2^16 rows
-            counts[bucket] = n
-        limit = counts.mean() + 8 * np.sqrt(counts.mean()) + 8
-        sets = rows.filter("doc_id IS NOT NULL AND n > 0")
-        known = texts.filter("doc_id IS NOT NULL").select("text").mapInArrow(*_index(words, counts, limit, num, den))
-        index = written(known, "index")
-        shared = index.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high")
-        self.members = written(index.join(shared, "key").distinct(), "members")
-        classes = sets.groupBy("cid").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ["n", *_S, "counters"]))
-        self.classes = written(classes.join(self.members.select("cid").distinct(), "cid", "left_semi"), "classes")
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The distinct pairs (a, b), bounded already, that hold on the whole texts."""
-        classes = self.classes
-        pairs = celled(written(pairs, "pairs"), classes.select("cid", F.col("counters").alias("value")), _possible(self.num, self.den))
-        pairs = written(pairs, "possible")
-        nodes = pairs.select("a").unionAll(pairs.select(F.col("b").alias("a"))).distinct()
-        wanted = written(classes.join(nodes, classes.cid == nodes.a, "left_semi").select("doc_id").distinct(), "wanted")
-        found = self.texts.join(small(wanted), "doc_id", "left_semi").select("text").mapInArrow(*_sets(self.words)).dropDuplicates(["cid"])
-        found = written(found.withColumnRenamed("shingles", "value"), "sets")
-        return written(celled(pairs, found, _similar(self.num, self.den)), "verified")
-
-    def bounded(self, pairs: DataFrame) -> DataFrame:
-        x, y = self.classes.alias("x"), self.classes.alias("y")
-        return pairs.join(x, pairs.a == F.col("x.cid")).join(y, pairs.b == F.col("y.cid")).filter(_near(self.num, self.den)).select("a", "b")
-
-    def all_links(self, block: int = 256) -> DataFrame:
-        """All pairs (a < b) of similar sets. The sets of a key are paired by blocks, two of which make a group of the join."""
-        many = written(self.members.groupBy("key").count().filter(F.col("count") > block), "many")
-        sized = self.members.select("key", "cid").join(self.classes.select("cid", "n"), "cid").join(small(many), "key", "left")
-        sized = sized.withColumn("blocks", F.coalesce(F.ceil(F.col("count") / block), F.lit(1)))
-        sized = sized.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks"))).drop("count")
-        sized = written(sized, "sized")
-        x = sized.select("key", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"), F.col("cid").alias("a"), F.col("n").alias("na"))
-        y = sized.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("i"), F.col("own").alias("j"), F.col("cid").alias("b"), F.col("n").alias("nb"))
-        met = x.join(y, ["key", "i", "j"]).filter(f"(i < j OR a < b) AND {self.den} * least(na, nb) >= {self.num} * greatest(na, nb)")
-        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        return self.links(self.bounded(pairs))
-
-    def connecting_links(self) -> DataFrame:
-        """Some pairs of similar sets, enough to have the components of all of them."""
-        members = self.members
-        ends = members.select("cid", F.explode(F.array("low", "high")).alias("end"))
-        stars = ends.filter("cid <> end").select(F.least("cid", "end").alias("a"), F.greatest("cid", "end").alias("b")).distinct()
-        first = self.links(self.bounded(stars))
-        parts = components(first)
-        placed = members.join(parts, members.cid == parts.node, "left").select("key", "cid", F.coalesce("root", "cid").alias("part"))
-        split = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("key")
-        rest = placed.join(split, "key", "left_semi").join(self.classes.drop("doc_id", "counters"), "cid")
-        x, y = rest.alias("x"), rest.alias("y")
-        apart = x.join(y, F.expr("x.key = y.key AND x.cid < y.cid AND x.part <> y.part") & _near(self.num, self.den))
-        return first.unionAll(self.links(apart.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()))
+        self.num, self.den = num, den
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.slim = written(texts.mapInArrow(*_profile(words)), "profile")
+        known = texts.filter("doc_id IS NOT NULL")
+        classes = self.slim.filter("doc_id IS NOT NULL AND n > 0").groupBy("cid").agg(
+            F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.count("*").alias("copies"))
+        first = first_extension(num, den)
+        classes = written(self._with_partners(classes, known.select("text").mapInArrow(*_text_prefixes(words, num, den, first)), first), "candidates")
+        wanted = small(written(classes.select("doc_id").distinct(), "wanted"))
+        sets = written(known.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(*_sets(words)), "sets")
+        whole = sets.select("cid", "shingles").mapInArrow(*_set_keys(lambda s: s))
+        self.classes = written(self._with_partners(classes, whole, None), "classes")
+        sets = sets.join(small(self.classes.select("cid")), "cid", "left_semi").dropDuplicates(["cid"])
+        self.sets = written(sets.select("cid", "shingles"), "near")
+
+    def _with_partners(self, classes: DataFrame, index: DataFrame, halves: int | None) -> DataFrame:
+        """The classes of which enough of the prefix occurs in other sets."""
+        alone = index.groupBy("key").agg(F.min("cid").alias("cid"), F.max("cid").alias("other")).filter("cid = other")
+        alone = alone.groupBy("cid").agg(F.count("*").alias("alone"))
+        length, found = needed(F.col("n"), self.num, self.den, halves)
+        return classes.join(alone, "cid", "left").filter(length - F.coalesce("alone", F.lit(0)) >= found).drop("alone")
+
+    def clusters(self) -> DataFrame:
+        """(cid, cluster) of sets that keys connect with others."""
+        num, den = self.num, self.den
+        keys = written(self.sets.mapInArrow(*_set_keys(lambda s: combination_keys(s, num, den))), "keys")
+        least = keys.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high").select("key", "low")
+        ties = keys.join(least, "key").filter("cid <> low").select(F.col("cid").alias("a"), F.col("low").alias("b"))
+        parts = components(ties)
+        roots = parts.select(F.col("root").alias("cid"), F.col("root").alias("cluster")).distinct()
+        return written(parts.select(F.col("node").alias("cid"), F.col("root").alias("cluster")).unionAll(roots), "clusters")
+
+    def cells(self) -> DataFrame:
+        """The sets of clusters, copied to the cells of their block with every block, in the order of cells."""
+        members = self.clusters()
+        blocks = F.ceil(F.greatest(F.count("*") / BLOCK, 8 * F.sum("n") / BLOCK_BYTES))
+        sizes = members.join(self.classes.select("cid", "n"), "cid").groupBy("cluster").agg(blocks.alias("blocks"))
+        sizes = written(sizes, "sizes")
+        placed = members.join(small(sizes), "cluster").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+        placed = placed.select("cluster", "cid", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+        whole = self.sets.join(self.classes.select("cid", "copies"), "cid")
+        rows = placed.join(whole, "cid").select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "copies", "shingles")
+        return rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
 
     def named(self, links: DataFrame) -> DataFrame:
         """Per row of docs: doc_id, n_shingles, component_id, cid."""
@@ -291,7 +289,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     table gives no rows.
     """
     sets = _Sets(docs, words, num, den)
-    return sets.named(sets.connecting_links()).drop("cid")
+    return sets.named(written(sets.cells().mapInArrow(*_cell(num, den, False)), "linked").select("a", "b")).drop("cid")
 
 
 def similar_sets(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -299,18 +297,17 @@ def similar_sets(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) ->
 
     rows: per row of docs doc_id, n_shingles, component_id as in near_duplicates, cid, the set that a and b name, and n_links:
     the number of other rows linked with it directly, those of the same set among them. Rows without doc_id or without
-    words link nothing and have 0.
+    words link nothing and have 0. pairs are only made if they are asked for; rows come from counts.
     """
     sets = _Sets(docs, words, num, den)
-    pairs = sets.all_links()
-    rows = written(sets.named(pairs), "rows")
-    linking = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    copies = written(linking.groupBy("cid").agg(F.count("*").alias("copies")), "copies")
-    both = pairs.select(F.col("a").alias("to"), F.col("b").alias("cid")).unionAll(pairs.select(F.col("b").alias("to"), F.col("a").alias("cid")))
-    met = both.join(copies, "cid").groupBy(F.col("to").alias("cid")).agg(F.sum("copies").alias("others"))
-    degrees = copies.join(met, "cid", "left").select("cid", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"))
+    cells = sets.cells()
+    linked = written(cells.mapInArrow(*_cell(num, den, False)), "linked")
+    met = linked.groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("others"))
+    linking = sets.slim.filter("doc_id IS NOT NULL AND n > 0").groupBy("cid").agg(F.count("*").alias("copies"))
+    degrees = linking.join(met, "cid", "left").select("cid", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"))
     links = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("n", F.lit(0))).otherwise(0).cast("long")
-    return pairs, rows.join(degrees, "cid", "left").select("doc_id", "n_shingles", "component_id", "cid", links.alias("n_links"))
+    rows = sets.named(linked.select("a", "b")).join(degrees.filter("n > 0"), "cid", "left").select("doc_id", "n_shingles", "component_id", "cid", links.alias("n_links"))
+    return cells.mapInArrow(*_cell(num, den, True)).select("a", "b"), rows
 
 
 def one_per_group(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:

@@ -17,24 +17,29 @@ def test_shingles_follow_words_and_case():
 
 
 def test_similar_sets_share_a_key():
-    """Whatever is rare or frequent, two sets over the threshold have a prefix key in common."""
+    """Two sets over the threshold have a prefix shingle in common, enough of longer prefixes, and a combination."""
     rng = np.random.default_rng(3)
-    counts = np.where(rng.random(1 << jaccard.BUCKET_BITS) < 0.5, 1000, 1)
-    for num, den in ((9, 10), (4, 5)):
-        for _ in range(150):
-            n = int(rng.integers(1, 700))
+    for num, den in ((9, 10), (4, 5), (1, 2)):
+        for trial in range(300):
+            n = int(rng.integers(1, 700 if trial % 2 else 30))
             x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
             changed = int(rng.integers(0, len(x) * (den - num) // den + 1))
             y = np.unique(np.concatenate([x[changed:], rng.integers(0, 1 << 63, int(rng.integers(0, 3))).astype(np.uint64)]))
             both = len(np.intersect1d(x, y))
             if not len(y) or den * both < num * (len(x) + len(y) - both):
                 continue
-            keys = [jaccard.prefix_keys(s, counts, 100, num, den) for s in (x, y)]
-            assert len(np.intersect1d(*keys))
-            apart = len(x) + len(y) - 2 * both
-            assert jaccard.counter_distance(jaccard.counters(x), jaccard.counters(y)) <= apart
-            sketches = [np.unpackbits(jaccard.parity_sketch(s).view(np.uint8)) for s in (x, y)]
-            assert (sketches[0] != sketches[1]).sum() <= apart
+            assert len(np.intersect1d(*[jaccard.combination_keys(s, num, den) for s in (x, y)]))
+            for halves in (0, 1, 6):
+                p, q = (jaccard.prefix(s, num, den, halves) for s in (x, y))
+                least = min(min(1 + halves * jaccard.missing(-(-num * len(s) // den), num, den) // 2, len(s) - jaccard.missing(len(s), num, den)) for s in (x, y))
+                assert len(np.intersect1d(p, q)) >= least
+
+
+def test_shared_sizes():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in (1, 5, 100, 200, 200)]
+    found = jaccard.shared_sizes(sets, columns=7)
+    assert all(found[i, j] == len(np.intersect1d(a, b)) for i, a in enumerate(sets) for j, b in enumerate(sets) if i != j)
 
 
 def test_hilbert_curve_visits_neighbours():
