@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators.joins import Hop, folded, require_unique
+from ledgerline.session import work_dir
 
 MIN_RELATED_TABLES = 3
 MIN_EVENT_ROWS = 50_000
@@ -270,7 +271,8 @@ def joined_value_counts(events: DataFrame, hops: list[Hop]) -> list[Counts]:
     """Value counts of every column of the joined rows, without joining the rows.
 
     A parent column has the value counts of its own table, each row weighted with its number of events, and the weights
-    of a parent sum up from those of its children. So every table is unpivoted at its own size. Parent keys must be unique.
+    of a parent sum up from those of its children. So every table is unpivoted at its own size. Weights are written once, a
+    row per key, since every family of types reads them. Parent keys must be unique.
     Events that lose a parent on the way are left out first; without orphans, which are counted per key, nothing is.
     """
     require_unique(hops)
@@ -287,6 +289,9 @@ def joined_value_counts(events: DataFrame, hops: list[Hop]) -> list[Counts]:
         per_key = (events.groupBy(F.col(hop.child_key).alias("_child")).agg(F.count(F.lit(1)).alias("_weight"))
                    if child is None else
                    child.groupBy(F.col(hop.child_key).alias("_child")).agg(F.sum("_weight").alias("_weight")))
+        path = work_dir(events.sparkSession, "weights")
+        per_key.write.parquet(path)
+        per_key = events.sparkSession.read.schema(per_key.schema).parquet(path)
         weighted[hop.name] = hop.parent.join(per_key, F.col(hop.parent_key) == F.col("_child")).drop("_child")
         attributes = [c for c in hop.parent.columns if c != hop.parent_key]
         counted.append(Columns(weighted[hop.name], attributes, {}, "_weight"))

@@ -77,22 +77,19 @@ def reconcile(current: DataFrame, others: dict[str, DataFrame], key: str, tolera
     """
     marked = {name: r.withColumn("_there", F.lit(1)) for name, r in {"current": current, **others}.items()}
     wide = union_of_keys(marked, key, [COUNT, "score_total", "_there"])
-    sides = []
-    for name in others:
-        row = wide.agg(
-            F.lit(name).alias("source"),
-            F.sum("txn_count_current").alias("txn_count_current"),
-            F.sum(f"txn_count_{name}").alias("txn_count_other"),
-            F.sum("score_total_current").alias("score_total_current"),
-            F.sum(f"score_total_{name}").alias("score_total_other"),
-            F.max(f"_there_{name}").alias("_there"),
-            F.max(F.abs(F.col("score_total_current") - F.col(f"score_total_{name}"))).alias("max_group_difference"),
-        )
-        sides.append(row)
+    totals = [F.sum("txn_count_current").alias("count_current"), F.sum("score_total_current").alias("total_current")]
+    for i, name in enumerate(others):
+        gap = F.abs(F.col("score_total_current") - F.col(f"score_total_{name}"))
+        totals += [F.sum(f"txn_count_{name}").alias(f"count_{i}"), F.sum(f"score_total_{name}").alias(f"total_{i}"),
+                   F.max(f"_there_{name}").alias(f"there_{i}"), F.max(gap).alias(f"gap_{i}")]
+    sides = F.inline(F.array(*[F.struct(
+        F.lit(name).alias("source"), F.col("count_current").alias("txn_count_current"), F.col(f"count_{i}").alias("txn_count_other"),
+        F.col("total_current").alias("score_total_current"), F.col(f"total_{i}").alias("score_total_other"),
+        F.col(f"there_{i}").alias("_there"), F.col(f"gap_{i}").alias("max_group_difference")) for i, name in enumerate(others)]))
     count_gap = F.abs(F.col("txn_count_current") - F.col("txn_count_other"))
     total_gap = F.abs(F.col("score_total_current") - F.col("score_total_other"))
     passed = (count_gap == 0) & (total_gap <= tolerance) & (F.col("max_group_difference") <= tolerance)
-    return union(sides).withColumns({
+    return wide.agg(*totals).select(sides).withColumns({
         "count_difference": count_gap,
         "total_difference": total_gap,
         "passed": F.when(F.col("_there") == 1, passed),
