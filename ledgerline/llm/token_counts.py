@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -16,6 +17,8 @@ from ledgerline.llm.shingles import batches
 #: Entries of the broadcast table and of each worker's cache, whatever the corpus.
 TABLE = 1 << 16
 CACHE = 1 << 17
+PART = 1 << 12  # pieces that a task sends
+LONGEST = 64  # characters of a piece that is kept
 
 _workers: dict[str, tuple[Tokenizer, dict[str, int]]] = {}
 
@@ -27,17 +30,28 @@ def _worker(path: str) -> tuple[Tokenizer, dict[str, int]]:
     return _workers[path]
 
 
-def frequent_lengths(texts: DataFrame, path: str, sample: int = 2000) -> dict[str, int]:
-    """Token counts of the most frequent pre-tokens of about `sample` texts, chosen by a hash; a speed-up only."""
-    n = texts.count()
-    part = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < min(1 << 30, (sample << 30) // max(n, 1)))
+def _counted(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(piece, n) of the pieces that are frequent in a task. Of each batch and of all of them so far it keeps the most frequent, a bounded number."""
+    held: Counter[str] = Counter()
+    for batch in batches(stream):
+        pieces = pc.list_flatten(pc.split_pattern(batch.column(0).cast(pa.large_string()).fill_null(""), " "))
+        counts = pc.value_counts(pieces)
+        names, n = counts.field(0), counts.field(1).to_numpy()
+        top = np.argpartition(-n, PART)[:PART] if len(n) > PART else np.arange(len(n))
+        held.update(dict(zip(names.take(pa.array(top)).to_pylist(), n[top].tolist())))
+        if len(held) > 8 * PART:
+            held = Counter(dict(held.most_common(4 * PART)))
+    best = [(p, n) for p, n in held.most_common(PART) if len(p) <= LONGEST]
+    yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in best], pa.string()), pa.array([n for _, n in best], pa.int64())], names=["piece", "n"])
 
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(stream):
-            held = Counter(piece for text in batch.column(0).to_pylist() if text for piece in text.split(" "))
-            yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["piece", "n"])
 
-    often = part.mapInArrow(run, "piece string, n long").filter("length(piece) <= 64").groupBy("piece").agg(F.sum("n").alias("n"))
+def frequent_lengths(texts: DataFrame, path: str) -> dict[str, int]:
+    """Token counts of the TABLE most frequent pre-tokens of all texts, by the sums of what every task finds frequent.
+
+    A task sends PART pieces at most, so what is shuffled and collected is bounded by tasks and TABLE. A pre-token that
+    is frequent nowhere may be missed; it is then encoded like any other.
+    """
+    often = texts.mapInArrow(_counted, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     pieces = [r.piece for r in often.orderBy(F.desc("n"), "piece").limit(TABLE).collect()]
     tokenizer, _ = _worker(path)
     return dict(zip(pieces, map(len, tokenizer.encode_batch(pieces, add_special_tokens=False))))
@@ -70,7 +84,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
             counts = [sum([known[p] if p in known else cache[p] if p in cache else fresh[p] for p in own]) for own in pieces]
             if len(cache) + len(fresh) > CACHE:
                 cache.clear()
-            cache.update((p, n) for p, n in fresh.items() if len(p) <= 64)
+            cache.update((p, n) for p, n in fresh.items() if len(p) <= LONGEST)
             sizes = np.array([len(t.encode()) for t in texts], np.int64)
             counts = np.array(counts, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(counts), pa.array(counts > limit)],
