@@ -139,6 +139,10 @@ class SuffixIndex:
                 self.spark.sql(f"DROP TABLE {table}")
         return out
 
+    def drop(self) -> None:
+        """Removes the levels; what add has given stays."""
+        self.spark.sql(f"DROP DATABASE {self.name} CASCADE")
+
 
 def _with_lists(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     """texts (a, b, text) with the lists (a, b, list, n) of their row; broadcast if all of them together are few."""
@@ -258,6 +262,7 @@ def repeats(texts: DataFrame, batches_: int = 4, crowd: int = CROWD) -> DataFram
     place = ["a", "b", "start", "windows"]
     whole = differ.join(classes.filter("n > 1").select("seed", "run"), ["seed", "run"], "left_semi")
     marks = hits.filter("NOT mixed").select(place).unionAll(whole.select(place)).unionAll(_singles(texts, classes, crowd)).distinct()
+    index.drop()
     return written(marks.groupBy("a", "b").agg(F.collect_list(F.struct("start", "windows")).alias("marks")).mapInArrow(_merged, "a long, b long, cut array<long>, n long"), "cuts")
 
 
