@@ -102,7 +102,10 @@ def regional_revenue(events: DataFrame, key: str, metric: str, hops: list[Hop] |
 
 
 def revenue_report(result: DataFrame, key: str, count: str = "transactions", total: str = "revenue_total") -> DataFrame:
-    """One row from a keyed result: the sorted keys, all transactions, all revenue."""
+    """One row from a keyed result: the sorted keys, all transactions, all revenue.
+
+    The message lists all keys in one row, so it is for keys of a dimension (regions), not of events.
+    """
     return result.agg(
         F.sort_array(F.collect_set(key)).alias("regions"),
         F.coalesce(F.sum(count), F.lit(0)).alias("transaction_total"),

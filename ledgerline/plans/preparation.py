@@ -111,6 +111,15 @@ def f1(spark, root):
     return profile.table_profile(with_roles(spark, root))
 
 
+# The bytes of files are beyond SQL over the tables; a test holds them against the file system.
+@query("f1_table_bytes")
+def f1_bytes(spark, root):
+    tables = catalog(root)
+    sizes = profile.union([tables.sizes(spark, name) for name in PROFILED])
+    rows = profile.table_profile(with_roles(spark, root)).select("table_name", "row_count")
+    return sizes.join(rows, "table_name").withColumn("bytes_per_row", F.when(F.col("row_count") > 0, F.col("bytes") / F.col("row_count")))
+
+
 def column_sql(t: str, c: str) -> str:
     return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, "
             f"count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count, "

@@ -477,3 +477,12 @@ def test_sketches_rule_out_what_cannot_be_a_key(spark):
     assert profile.candidate_keys({"t": rows.select("same")}).count() == 0
     empty = profile.candidate_keys({"t": rows.limit(0)})
     assert {r.column_name for r in empty.collect()} <= set(rows.columns)
+
+
+def test_table_bytes_are_those_of_the_files(spark, data):
+    import os
+
+    from ledgerline.plans.registry import REGISTRY
+
+    for r in REGISTRY["f1_table_bytes"].run(spark, data).collect():
+        assert r.files == 1 and r.bytes == os.path.getsize(f"{data}/{r.table_name}.parquet") and r.bytes_per_row == r.bytes / r.row_count
