@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerline.functions.scalars import clean_names, formatted, json_row
+from ledgerline.functions.scalars import clean_names, formatted
 from ledgerline.operators.typing import conform, infer_types
 from ledgerline.session import work_dir
 
@@ -55,12 +55,6 @@ def write_json(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_compact_json(rows: DataFrame, path: str) -> None:
-    """One compact JSON object per line, numbers in plain notation."""
-    fields = [(f.name, f.dataType.simpleString()) for f in rows.schema.fields]
-    rows.select(json_row(fields).alias("value")).write.mode("overwrite").text(path)
-
-
 def load_result(spark: SparkSession, path: str, key: str = "region", format: str = "csv") -> DataFrame:
     """A stored result as (key, txn_count, score_total), whichever of the two known name pairs it uses.
 
