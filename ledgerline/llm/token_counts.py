@@ -17,7 +17,7 @@ from ledgerline.llm.shingles import batches
 #: Entries of the broadcast table and of each worker's cache, whatever the corpus.
 TABLE = 1 << 16
 CACHE = 1 << 17
-PART = 1 << 12  # pieces that a task sends
+PART = 1 << 16  # pieces that a task sends
 LONGEST = 64  # characters of a piece that is kept
 
 _workers: dict[str, tuple[Tokenizer, dict[str, int]]] = {}
@@ -39,8 +39,8 @@ def _counted(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, n = counts.field(0), counts.field(1).to_numpy()
         top = np.argpartition(-n, PART)[:PART] if len(n) > PART else np.arange(len(n))
         held.update(dict(zip(names.take(pa.array(top)).to_pylist(), n[top].tolist())))
-        if len(held) > 8 * PART:
-            held = Counter(dict(held.most_common(4 * PART)))
+        if len(held) > 4 * PART:
+            held = Counter(dict(held.most_common(2 * PART)))
     best = [(p, n) for p, n in held.most_common(PART) if len(p) <= LONGEST]
     yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in best], pa.string()), pa.array([n for _, n in best], pa.int64())], names=["piece", "n"])
 
