@@ -421,3 +421,30 @@ def test_pipeline_on_planted_cases(spark, data, tmp_path):
     own = np.array([*library.encode(masked.text, add_special_tokens=False).ids, 0], "<u4")
     pieces = [p for p in corpus_pipeline.run(spark, str(tmp_path)).filter(F.col("doc_id") == top + 2).collect()]
     assert pieces and all(p.ids_crc32 == zlib.crc32(own[p.start : p.start + p.length].tobytes()) and p.doc_tokens == len(own) for p in pieces)
+
+
+def test_queries_of_a_block_share_their_work():
+    import time
+
+    rng = np.random.default_rng(31)
+    x = rng.normal(size=(4096, 64))
+    x[::5] = x[0]
+    most, project = float((x * x).sum(1).max()), rng.normal(size=(65, 16))
+    points = np.concatenate([x, np.sqrt(np.maximum(most - (x * x).sum(1), 0))[:, None]], 1) @ project
+    order, _ = neighbours.kd_order(points)
+    ids = np.arange(4096)[order]
+    queries = np.arange(0, 4096, 16)
+
+    def found(asked):
+        q, v, s = neighbours.search_block(asked, x[asked], ids, x[order], points[order], project, most, neighbours.chi_square_quantile(0.98, 16), 20)
+        return sorted(zip(q.tolist(), (-s).tolist(), v.tolist()))
+
+    began = time.thread_time()
+    together = found(queries)
+    between = time.thread_time()
+    alone = [r for q in queries for r in found(np.array([q]))]
+    assert together == alone
+    assert between - began < 0.6 * (time.thread_time() - between)
+    exact = [(int(q), -float(s), int(v)) for q in queries for s, v in sorted((((x[v] * x[q]).sum(), v) for v in range(4096) if v != q), key=lambda r: (-r[0], r[1]))[:20]]
+    assert len(set(together) & set(exact)) >= 0.9 * len(exact)
+    assert {r for r in exact if r[0] % 80 == 0} <= set(together)  # copies of one vector: by smallest id
