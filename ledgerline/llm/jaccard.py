@@ -13,14 +13,19 @@ miss t of them in a partner shares one of its first t + 1 with every partner, an
    as a key by itself, where a prefix has no frequent one, was tried and left: it ties sets together that only share a
    passage, and the clusters of step 3 ran together as the corpus grew.)
 3. Sets connected by keys are a cluster, and all pairs of a cluster are verified on the whole sets, in cells of two blocks of
-   sets, one task each. Links are counted by set and connected within the cell, so no pairs are written.
+   sets, one task each, of neighbouring ranges of sizes. Links are counted by set and connected within the cell, so no pairs are written.
 
 Rare shingles so serve singly, to rule sets out; the others in combinations. No list is capped. Shingles and sets are
 known by 64-bit hashes; among 10^10 different sets about three pairs collide.
+
+Sets are kept as their texts, which take half the room of their shingles, and indexes are built in slices of their keys, one after
+another, so that a table full of near duplicates needs little more disk than any other. What no later step reads is dropped.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +35,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.components import components
 from ledgerline.llm.shingles import batches, mixed, shingle_sets
-from ledgerline.llm.store import small, written
+from ledgerline.llm.store import dropped, small, written
 
 BLOCK = 512  # sets on either side of a cell,
 BLOCK_BYTES = 1 << 25  # and about so many bytes
+#: Of all shingles of the table, a slice of an index holds a 4th (shingles) or as many keys as a 16th, a slice of cells sets of a half,
+SHINGLES, KEYS, COPIES = 4, 16, 2
+LEAST = 1 << 21  # and this many in any case
 _TRIES = 8  # independent ways to deal shingles to classes
 _U = np.uint64
 
@@ -132,24 +140,46 @@ def _text_prefixes(words: int, num: int, den: int, halves: int):
     return run, "key long, cid long"
 
 
-def _set_keys(make):
-    """(key, cid): the keys that make gives for sets (cid, shingles)."""
+def _shingles(words: int, part: int, parts: int):
+    """(key, cid): the shingles of sets (cid, text), one slice of them."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(stream):
+            yield _keyed([s[s % _U(parts) == part] for s in shingle_sets(batch.column(1), words)], batch.column(0).to_pylist())
+
+    return run, "key long, cid long"
+
+
+def _combinations(words: int, num: int, den: int):
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(stream):
+            keys = [combination_keys(s, num, den).tobytes() for s in shingle_sets(batch.column(1), words)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], names=["cid", "keys"])
+
+    return run, "cid long, keys binary"
+
+
+def _slice_of_keys(part: int, parts: int):
+    """(key, cid): one slice of the keys of sets (cid, keys)."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            yield _keyed([make(np.frombuffer(s, np.uint64)) for s in batch.column(1).to_pylist()], batch.column(0).to_pylist())
+            keys = [np.frombuffer(k, np.uint64) for k in batch.column(1).to_pylist()]
+            yield _keyed([k[k % _U(parts) == part] for k in keys], batch.column(0).to_pylist())
 
     return run, "key long, cid long"
 
 
 def _sets(words: int):
+    """(cid, text): the texts that have shingles, with their set."""
+
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(stream):
-            sets = [s for s in shingle_sets(batch.column(0), words) if len(s)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cid", "n", "shingles"])
+            sets = shingle_sets(batch.column(0), words)
+            found = pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), batch.column(0)], names=["cid", "text"])
+            yield found.filter(pa.array([len(s) > 0 for s in sets], pa.bool_()))
 
-    return run, "cid long, n long, shingles binary"
+    return run, "cid long, text string"
 
 
 def shared_sizes(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
@@ -171,15 +201,16 @@ def shared_sizes(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
     return out
 
 
-def _cell(num: int, den: int, pairs: bool):
-    """Links within cells: rows come by cell, (cluster, i, j, own, cid, copies, shingles), own being i or j.
+def _cell(words: int, num: int, den: int, pairs: bool):
+    """Links within cells: rows come by cell, (cluster, i, j, own, cid, copies, text), own being i or j.
 
     Per set with links: a, the set; b, the smallest set that it is connected with in the cell; links, the rows of the sets
     linked with it. With pairs, a row for each link, a < b.
     """
 
     def found(rows: list[tuple]) -> list[tuple]:
-        sets = [np.frombuffer(r[6], np.uint64) for r in rows]
+        texts = pa.RecordBatch.from_arrays([pa.array([r[6] for r in rows], pa.large_string())], names=["text"])
+        sets = [s for part in batches([texts]) for s in shingle_sets(part.column(0), words)]
         cids, copies, own = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 3))
         size = np.array([len(s) for s in sets], np.float64)
         both = shared_sizes(sets).astype(np.float64)
@@ -223,49 +254,86 @@ class _Sets:
     """The sets of the texts of docs, their clusters and the links within. Tables are written once."""
 
     def __init__(self, docs: DataFrame, words: int, num: int, den: int):
-        self.num, self.den = num, den
+        self.words, self.num, self.den = words, num, den
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.slim = written(texts.mapInArrow(*_profile(words)), "profile")
+        self.shingles = self.slim.agg(F.sum("n")).first()[0] or 0
         known = texts.filter("doc_id IS NOT NULL")
         classes = self.slim.filter("doc_id IS NOT NULL AND n > 0").groupBy("cid").agg(
             F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.count("*").alias("copies"))
         first = first_extension(num, den)
-        classes = written(self._with_partners(classes, known.select("text").mapInArrow(*_text_prefixes(words, num, den, first)), first), "candidates")
-        wanted = small(written(classes.select("doc_id").distinct(), "wanted"))
-        sets = written(known.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(*_sets(words)), "sets")
-        whole = sets.select("cid", "shingles").mapInArrow(*_set_keys(lambda s: s))
+        alone = self._alone(known.select("text").mapInArrow(*_text_prefixes(words, num, den, first)))
+        classes = written(self._with_partners(classes, alone, first), "candidates")
+        wanted = written(classes.select("doc_id").distinct(), "wanted")
+        sets = written(known.join(small(wanted), "doc_id", "left_semi").select("text").mapInArrow(*_sets(words)), "sets")
+        parts = self._slices(classes.agg(F.sum("n")).first()[0] or 0, SHINGLES)
+        alone = [written(self._alone(sets.mapInArrow(*_shingles(words, part, parts))), "alone") for part in range(parts)]
+        whole = functools.reduce(DataFrame.unionAll, alone).groupBy("cid").agg(F.sum("alone").alias("alone"))
         self.classes = written(self._with_partners(classes, whole, None), "classes")
-        sets = sets.join(small(self.classes.select("cid")), "cid", "left_semi").dropDuplicates(["cid"])
-        self.sets = written(sets.select("cid", "shingles"), "near")
+        near = sets.join(small(self.classes.select("cid")), "cid", "left_semi").dropDuplicates(["cid"])
+        self.sets = written(near.select("cid", "text"), "near")
+        dropped(classes, wanted, sets, *alone)
 
-    def _with_partners(self, classes: DataFrame, index: DataFrame, halves: int | None) -> DataFrame:
-        """The classes of which enough of the prefix occurs in other sets."""
+    def _slices(self, keys: int, share: int) -> int:
+        """In so many slices an index of so many keys is built."""
+        return math.ceil(max(keys, 1) / max(self.shingles // share, LEAST))
+
+    def _alone(self, index: DataFrame) -> DataFrame:
+        """(cid, alone): how many keys of the index a set alone has."""
         alone = index.groupBy("key").agg(F.min("cid").alias("cid"), F.max("cid").alias("other")).filter("cid = other")
-        alone = alone.groupBy("cid").agg(F.count("*").alias("alone"))
+        return alone.groupBy("cid").agg(F.count("*").alias("alone"))
+
+    def _with_partners(self, classes: DataFrame, alone: DataFrame, halves: int | None) -> DataFrame:
+        """The classes of which enough of the prefix occurs in other sets."""
         length, found = needed(F.col("n"), self.num, self.den, halves)
         return classes.join(alone, "cid", "left").filter(length - F.coalesce("alone", F.lit(0)) >= found).drop("alone")
 
     def clusters(self) -> DataFrame:
         """(cid, cluster) of sets that keys connect with others."""
-        num, den = self.num, self.den
-        keys = written(self.sets.mapInArrow(*_set_keys(lambda s: combination_keys(s, num, den))), "keys")
-        least = keys.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high").select("key", "low")
-        ties = keys.join(least, "key").filter("cid <> low").select(F.col("cid").alias("a"), F.col("low").alias("b"))
-        parts = components(ties)
+        held = written(self.sets.mapInArrow(*_combinations(self.words, self.num, self.den)), "keys")
+        parts = self._slices((held.agg(F.sum(F.length("keys"))).first()[0] or 0) // 8, KEYS)
+        ties = []
+        for part in range(parts):
+            keys = held.mapInArrow(*_slice_of_keys(part, parts))
+            least = keys.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low < high").select("key", "low")
+            tied = keys.join(least, "key").filter("cid <> low").select(F.col("cid").alias("a"), F.col("low").alias("b"))
+            ties.append(written(tied.distinct(), "ties"))
+        parts = components(functools.reduce(DataFrame.unionAll, ties))
         roots = parts.select(F.col("root").alias("cid"), F.col("root").alias("cluster")).distinct()
-        return written(parts.select(F.col("node").alias("cid"), F.col("root").alias("cluster")).unionAll(roots), "clusters")
-
-    def cells(self) -> DataFrame:
-        """The sets of clusters, copied to the cells of their block with every block, in the order of cells."""
-        members = self.clusters()
+        members = written(parts.select(F.col("node").alias("cid"), F.col("root").alias("cluster")).unionAll(roots), "clusters")
+        dropped(held, *ties)
+        return members
+
+    def placed(self) -> DataFrame:
+        """(cluster, i, j, own, cid, copies, n): the cells of sets. Blocks are of one range of sizes; only those of neighbouring ranges meet."""
+        members = self.clusters().join(self.classes.select("cid", "copies", "n"), "cid")
+        largest = members.agg(F.max("n")).first()[0] or 1
+        ends = F.array(*[F.lit(high).cast("long") for _, high in levels(largest, self.num, self.den)])
+        members = members.withColumn("level", F.size(F.filter(ends, lambda end: end < F.col("n"))).cast("long"))
         blocks = F.ceil(F.greatest(F.count("*") / BLOCK, 8 * F.sum("n") / BLOCK_BYTES))
-        sizes = members.join(self.classes.select("cid", "n"), "cid").groupBy("cluster").agg(blocks.alias("blocks"))
-        sizes = written(sizes, "sizes")
-        placed = members.join(small(sizes), "cluster").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
-        placed = placed.select("cluster", "cid", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-        whole = self.sets.join(self.classes.select("cid", "copies"), "cid")
-        rows = placed.join(whole, "cid").select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "copies", "shingles")
-        return rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+        sizes = written(members.groupBy("cluster", "level").agg(blocks.alias("blocks")), "sizes")
+        others = sizes.select("cluster", F.col("level").alias("beside"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+        others = others.select("cluster", F.explode(F.array(*[F.col("beside") + k for k in (-1, 0, 1)])).alias("level"), (F.shiftleft("beside", 40) + F.col("block")).alias("other"))
+        others = written(others, "blocks")
+        own = F.shiftleft("level", 40) + F.pmod(F.xxhash64("cid"), F.col("blocks"))
+        members = members.join(small(sizes), ["cluster", "level"]).withColumn("own", own)
+        return written(members.join(small(others), ["cluster", "level"]).select(
+            "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "copies", "n"), "placed")
+
+    def cells(self) -> list[DataFrame]:
+        """The sets of clusters, copied to the cells of their block with other blocks, in the order of cells; in slices of cells."""
+        placed = self.placed()
+        parts = self._slices(placed.agg(F.sum("n")).first()[0] or 0, COPIES)
+        out = []
+        for part in range(parts):
+            rows = placed.filter(F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(parts)) == part).join(self.sets, "cid").select("cluster", "i", "j", "own", "cid", "copies", "text")
+            out.append(rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j"))
+        return out
+
+    def linked(self, cells: list[DataFrame]) -> DataFrame:
+        """What _cell says of all cells, slice by slice."""
+        found = [written(rows.mapInArrow(*_cell(self.words, self.num, self.den, False)), "linked") for rows in cells]
+        return functools.reduce(DataFrame.unionAll, found)
 
     def named(self, links: DataFrame) -> DataFrame:
         """Per row of docs: doc_id, n_shingles, component_id, cid."""
@@ -289,7 +357,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5)
     table gives no rows.
     """
     sets = _Sets(docs, words, num, den)
-    return sets.named(written(sets.cells().mapInArrow(*_cell(num, den, False)), "linked").select("a", "b")).drop("cid")
+    linked = sets.linked(sets.cells())
+    dropped(sets.sets)
+    return sets.named(linked.select("a", "b")).drop("cid")
 
 
 def similar_sets(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -301,13 +371,14 @@ def similar_sets(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) ->
     """
     sets = _Sets(docs, words, num, den)
     cells = sets.cells()
-    linked = written(cells.mapInArrow(*_cell(num, den, False)), "linked")
+    linked = sets.linked(cells)
     met = linked.groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("others"))
     linking = sets.slim.filter("doc_id IS NOT NULL AND n > 0").groupBy("cid").agg(F.count("*").alias("copies"))
     degrees = linking.join(met, "cid", "left").select("cid", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"))
     links = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("n", F.lit(0))).otherwise(0).cast("long")
     rows = sets.named(linked.select("a", "b")).join(degrees.filter("n > 0"), "cid", "left").select("doc_id", "n_shingles", "component_id", "cid", links.alias("n_links"))
-    return cells.mapInArrow(*_cell(num, den, True)).select("a", "b"), rows
+    pairs = [rows.mapInArrow(*_cell(words, num, den, True)).select("a", "b") for rows in cells]
+    return functools.reduce(DataFrame.unionAll, pairs), rows
 
 
 def one_per_group(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
